@@ -27,14 +27,14 @@ def rules(
     ``customer_pattern`` is a regular expression ids must match. With neither, ids are not checked.
     Zero quantities and negative totals are valid.
     """
-    quantity, price = lenient_int("quantity"), lenient_double("unit_price")
+    typed = conversions()
     found = {
-        "date_missing": lenient_date("transaction_date").isNull(),
-        "quantity_not_integer": quantity.isNull(),
-        "quantity_negative": quantity < 0,
-        "price_not_numeric": price.isNull(),
-        "price_not_positive": price <= 0,
-        "total_not_numeric": lenient_double("total_amount").isNull(),
+        "date_missing": typed["transaction_date"].isNull(),
+        "quantity_not_integer": typed["quantity"].isNull(),
+        "quantity_negative": typed["quantity"] < 0,
+        "price_not_numeric": typed["unit_price"].isNull(),
+        "price_not_positive": typed["unit_price"] <= 0,
+        "total_not_numeric": typed["total_amount"].isNull(),
     }
     if expected_customer is not None:
         wanted = (
@@ -78,14 +78,19 @@ def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean_rows(flagged), rejected_rows(flagged)
 
 
-def enforce_types(df: DataFrame) -> DataFrame:
-    """The ten transaction columns with their types; unreadable values become NULL."""
-    typed = {
+def conversions() -> dict[str, Column]:
+    """The columns that change type, read from text; what cannot be read becomes NULL."""
+    return {
         "transaction_date": lenient_date("transaction_date"),
         "quantity": lenient_int("quantity"),
         "unit_price": lenient_double("unit_price"),
         "total_amount": lenient_double("total_amount"),
     }
+
+
+def enforce_types(df: DataFrame) -> DataFrame:
+    """The ten transaction columns with their types."""
+    typed = conversions()
     return df.select(*[typed.get(c, F.col(c)).alias(c) for c in COLUMNS])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillscope.functions import month_number, year_number
@@ -17,9 +17,14 @@ SAVED_COLUMNS = [
     "prev_prev_month_orders",
 ]
 
-# Newest month first; the older months of a customer are then the following rows, so that rank and
-# both comparisons share one shuffle and one sort.
-_NEWEST_FIRST = Window.partitionBy("customer_id").orderBy(F.desc("year"), F.desc("month"))
+
+def _newest_first() -> WindowSpec:
+    """Months of a customer, latest first.
+
+    The older months are then the following rows, so that the rank and both comparisons share one
+    shuffle and one sort.
+    """
+    return Window.partitionBy("customer_id").orderBy(F.desc("year"), F.desc("month"))
 
 
 def monthly_orders(
@@ -42,7 +47,7 @@ def rank_months(monthly: DataFrame) -> DataFrame:
 
     The window sees one row per customer and active month, never raw transactions.
     """
-    return monthly.withColumn("month_rank", F.row_number().over(_NEWEST_FIRST))
+    return monthly.withColumn("month_rank", F.row_number().over(_newest_first()))
 
 
 def last_three_months(ranked: DataFrame) -> DataFrame:
@@ -52,8 +57,8 @@ def last_three_months(ranked: DataFrame) -> DataFrame:
     """
     return ranked.filter(F.col("month_rank") <= MONTHS).withColumns(
         {
-            "prev_month_orders": F.lead("order_count", 1).over(_NEWEST_FIRST),
-            "prev_prev_month_orders": F.lead("order_count", 2).over(_NEWEST_FIRST),
+            "prev_month_orders": F.lead("order_count", 1).over(_newest_first()),
+            "prev_prev_month_orders": F.lead("order_count", 2).over(_newest_first()),
         }
     )
 
