@@ -5,18 +5,20 @@ No broadcast hints here: every dimension may grow, so the choice is left to Spar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.schema import COLUMNS
-
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def _prefixed(prefix: str, *columns: str):
-    return F.concat(F.lit(prefix), F.concat_ws("_", *[F.col(c).cast("string") for c in columns]))
+def _id(prefix: str, *columns: str) -> Column:
+    parts: list[Column] = [F.lit(prefix)]
+    for i, c in enumerate(columns):
+        parts += [F.lit("_")] if i else []
+        parts.append(F.col(c).cast("string"))
+    return F.concat(*parts)
 
 
 def sales(spark: SparkSession, directory: str) -> DataFrame:
@@ -27,16 +29,20 @@ def sales(spark: SparkSession, directory: str) -> DataFrame:
     lines = table(spark, directory, "lineitem")
     orders = table(spark, directory, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        _prefixed("TXN_", "l_orderkey", "l_linenumber").alias("transaction_id"),
+        _id("TXN_", "l_orderkey", "l_linenumber").alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
-        _prefixed("STD_", "o_custkey").alias("customer_id"),
-        _prefixed("PRT_", "l_partkey").alias("product_id"),
+        _id("STD_", "o_custkey").alias("customer_id"),
+        _id("PRT_", "l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("total_amount"),
     )
 
 
 def transactions(spark: SparkSession, directory: str) -> DataFrame:
     """All ten transaction columns."""
+    return _joined(spark, directory).select(*_ten_columns().values())
+
+
+def _joined(spark: SparkSession, directory: str) -> DataFrame:
     lines = table(spark, directory, "lineitem")
     orders = table(spark, directory, "orders")
     parts = table(spark, directory, "part")
@@ -47,28 +53,32 @@ def transactions(spark: SparkSession, directory: str) -> DataFrame:
         .join(parts, lines.l_partkey == parts.p_partkey)
         .join(customers, orders.o_custkey == customers.c_custkey)
         .join(nations, customers.c_nationkey == nations.n_nationkey)
-        .select(
-            _prefixed("TXN_", "l_orderkey", "l_linenumber").alias("transaction_id"),
-            F.col("o_orderdate").cast("date").alias("transaction_date"),
-            F.lit("00:00:00").alias("transaction_time"),
-            _prefixed("STD_", "o_custkey").alias("customer_id"),
-            _prefixed("PRT_", "l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("p_retailprice").alias("unit_price"),
-            F.col("l_extendedprice").alias("total_amount"),
-            F.col("o_orderpriority").alias("payment_method"),
-            F.col("n_name").alias("store_location"),
-        )
     )
 
 
+def _ten_columns() -> dict[str, Column]:
+    columns = {
+        "transaction_id": _id("TXN_", "l_orderkey", "l_linenumber"),
+        "transaction_date": F.col("o_orderdate").cast("date"),
+        "transaction_time": F.lit("00:00:00"),
+        "customer_id": _id("STD_", "o_custkey"),
+        "product_id": _id("PRT_", "l_partkey"),
+        "quantity": F.col("l_quantity").cast("int"),
+        "unit_price": F.col("p_retailprice"),
+        "total_amount": F.col("l_extendedprice"),
+        "payment_method": F.col("o_orderpriority"),
+        "store_location": F.col("n_name"),
+    }
+    return {name: column.alias(name) for name, column in columns.items()}
+
+
 def event_amounts(spark: SparkSession, directory: str) -> DataFrame:
     """Events seen as single-item transactions; their amounts are heavy-tailed."""
     return table(spark, directory, "events").select(
-        _prefixed("TXN_", "event_id").alias("transaction_id"),
+        _id("TXN_", "event_id").alias("transaction_id"),
         F.col("ts").cast("date").alias("transaction_date"),
         F.date_format("ts", "HH:mm:ss").alias("transaction_time"),
-        _prefixed("STD_", "user_id").alias("customer_id"),
+        _id("STD_", "user_id").alias("customer_id"),
         F.col("event_type").alias("product_id"),
         F.lit(1).alias("quantity"),
         F.col("value").alias("unit_price"),
@@ -83,36 +93,26 @@ def damaged_transactions(spark: SparkSession, directory: str) -> DataFrame:
 
     ``expected_customer`` keeps the undamaged customer id.
     """
-    text = transactions(spark, directory).select(
-        *[F.col(c).cast("string").alias(c) for c in COLUMNS],
-        F.split_part("transaction_id", F.lit("_"), F.lit(2)).cast("bigint").alias("k"),
-    )
+    text = {name: column.cast("string") for name, column in _ten_columns().items()}
+    customer, quantity, total = text["customer_id"], text["quantity"], text["total_amount"]
 
-    def every(n: int):
-        return F.col("k") % n == 0
+    def every(n: int) -> Column:
+        return F.col("l_orderkey") % n == 0
 
-    return text.select(
-        "transaction_id",
-        F.when(every(97), F.lit(None))
+    damaged = text | {
+        "transaction_date": F.when(every(97), F.lit(None))
         .when(every(101), "2023-13-45")
-        .otherwise(F.col("transaction_date"))
-        .alias("transaction_date"),
-        "transaction_time",
-        F.when(every(23), F.lit(None))
-        .when(every(29), F.concat(F.lit(" "), "customer_id"))
-        .otherwise(F.col("customer_id"))
-        .alias("customer_id"),
-        "product_id",
-        F.when(every(11), F.concat("quantity", F.lit("a")))
-        .when(every(13), F.concat(F.lit("-"), "quantity"))
-        .otherwise(F.col("quantity"))
-        .alias("quantity"),
-        F.when(every(89), "0").otherwise(F.col("unit_price")).alias("unit_price"),
-        F.when(every(17), F.concat("total_amount", F.lit("$")))
+        .otherwise(text["transaction_date"]),
+        "customer_id": F.when(every(23), F.lit(None))
+        .when(every(29), F.concat(F.lit(" "), customer))
+        .otherwise(customer),
+        "quantity": F.when(every(11), F.concat(quantity, F.lit("a")))
+        .when(every(13), F.concat(F.lit("-"), quantity))
+        .otherwise(quantity),
+        "unit_price": F.when(every(89), "0").otherwise(text["unit_price"]),
+        "total_amount": F.when(every(17), F.concat(total, F.lit("$")))
         .when(every(19), F.lit(None))
-        .otherwise(F.col("total_amount"))
-        .alias("total_amount"),
-        "payment_method",
-        "store_location",
-        F.col("customer_id").alias("expected_customer"),
-    )
+        .otherwise(total),
+        "expected_customer": customer,
+    }
+    return _joined(spark, directory).select(*[c.alias(name) for name, c in damaged.items()])
