@@ -33,6 +33,7 @@ _INFINITE = 4 * _OFFSET
 _NAN = 5 * _OFFSET
 _WITHIN = 2**22
 
+Ranks = dict[str, dict[float, int]]
 Found = dict[str, dict[float, float | None]]
 
 
@@ -52,27 +53,63 @@ def quantiles(
     """
     probabilities = [float(p) for p in probabilities]
     if accuracy is not None:
-        return _in_one_aggregate(df, columns, probabilities, accuracy)
+        return _sketched(df, columns, probabilities, accuracy)
 
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    if max(sizes.values()) <= small:
-        # An accuracy of more than twice the count makes the sketch keep every value.
-        return _in_one_aggregate(df, columns, probabilities, 2 * small + 2)
-    return _narrowed(df, sizes, probabilities)
+    sizes = df.agg(
+        *[F.count(c).alias(f"{c}_all") for c in columns],
+        *[F.count(_ordinary(c)).alias(f"{c}_ordinary") for c in columns],
+    ).first()
+    ranks = {
+        c: {p: max(math.ceil(p * sizes[f"{c}_all"]), 1) for p in probabilities}
+        for c in columns
+        if sizes[f"{c}_all"]
+    }
+    found: Found = {c: dict.fromkeys(probabilities) for c in columns}
+    if not ranks:
+        return found
+    if max(sizes[f"{c}_all"] for c in ranks) <= small:
+        return found | _kept_whole(df, ranks, {c: sizes[f"{c}_ordinary"] for c in ranks}, small)
+    return found | _narrowed(df, ranks)
+
+
+def _number(column: str) -> Column:
+    return F.col(column).cast("double")
+
+
+def _ordinary(column: str) -> Column:
+    return F.nanvl(_number(column), F.lit(None))
 
 
-def _in_one_aggregate(
+def _sketched(
     df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int
 ) -> Found:
     row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), probabilities, accuracy).alias(c)
-            for c in columns
-        ]
+        *[F.percentile_approx(_number(c), probabilities, accuracy).alias(c) for c in columns]
     ).first()
     return {c: dict(zip(probabilities, row[c] or [None] * len(probabilities))) for c in columns}
 
 
+def _kept_whole(df: DataFrame, ranks: Ranks, ordinary: dict[str, int], small: int) -> Found:
+    # Sketches do not order NaN. It sorts last, so it takes the ranks past the ordinary values.
+    found: Found = {c: dict.fromkeys(wanted, math.nan) for c, wanted in ranks.items()}
+    inside = {
+        c: {p: r for p, r in wanted.items() if r <= ordinary[c]} for c, wanted in ranks.items()
+    }
+    # An accuracy of more than twice the count keeps every value; half a rank less avoids rounding up.
+    sketches = [
+        F.percentile_approx(
+            _ordinary(c), [(r - 0.5) / ordinary[c] for r in wanted.values()], 2 * small + 2
+        ).alias(c)
+        for c, wanted in inside.items()
+        if wanted
+    ]
+    if sketches:
+        row = df.agg(*sketches).first().asDict()
+        for c, values in row.items():
+            found[c].update(zip(inside[c], values))
+    return found
+
+
 @dataclass(frozen=True)
 class _Interval:
     """Values of one column, all of them or those between two bounds."""
@@ -103,24 +140,20 @@ class _Interval:
         )
 
 
-def _narrowed(df: DataFrame, sizes: dict[str, int], probabilities: list[float]) -> Found:
-    result: Found = {c: dict.fromkeys(probabilities) for c in sizes}
-    values = _long_form(df, list(sizes))
-    searched = {
-        _Interval(c): [(p, max(math.ceil(p * n), 1)) for p in probabilities]
-        for c, n in sizes.items()
-        if n
-    }
+def _narrowed(df: DataFrame, ranks: Ranks) -> Found:
+    found: Found = {c: {} for c in ranks}
+    values = _long_form(df, list(ranks))
+    searched = {_Interval(c): list(wanted.items()) for c, wanted in ranks.items()}
     while searched:
-        found = _locate(values, searched)
+        located = _locate(values, searched)
         searched = {}
-        for row in found:
+        for row in located:
             if row.low < row.high:
                 interval = _Interval(row.metric, row.low, row.high)
                 searched.setdefault(interval, []).append((row.probability, row.rank))
             else:
-                result[row.metric][row.probability] = row.low
-    return result
+                found[row.metric][row.probability] = row.low
+    return found
 
 
 def _long_form(df: DataFrame, columns: list[str]) -> DataFrame:
