@@ -94,9 +94,21 @@ def segment(
         return Segmentation(METRICS_ONLY, metrics, metrics)
 
     scaling = fit_scaling(usable, columns)
-    if not all(math.isfinite(v) for v in [*scaling.stages[-1].mean, *scaling.stages[-1].std]):
-        return _cluster(metrics, scaling, columns, UNSCALED, (2,), seed)
-    return _cluster(metrics, scaling, columns, SCALED, cluster_counts, seed)
+    attempts = [(UNSCALED, RAW_FEATURES, (2,))]
+    if all(math.isfinite(v) for v in [*scaling.stages[-1].mean, *scaling.stages[-1].std]):
+        attempts.insert(0, (SCALED, FEATURES, cluster_counts))
+    points = scaling.transform(usable).persist()
+    try:
+        for status, features, counts in attempts:
+            models = _fit_all(points, features, counts, seed)
+            if models:
+                # The first of equal scores wins, hence the smallest cluster count.
+                best, model = max(models, key=lambda m: m[0].silhouette)
+                scores = [score for score, _ in models]
+                return _labelled(metrics, columns, scaling, status, scores, best.k, model)
+    finally:
+        points.unpersist()
+    return Segmentation(METRICS_ONLY, metrics, metrics)
 
 
 def cluster_profile(
@@ -149,27 +161,19 @@ def _has_distinct_points(metrics: DataFrame, columns: list[str]) -> bool:
     return bool(metrics.agg(F.coalesce(differs & finite, F.lit(False))).first()[0])
 
 
-def _cluster(
+def _labelled(
     metrics: DataFrame,
-    scaling: PipelineModel,
     columns: list[str],
+    scaling: PipelineModel,
     status: str,
-    cluster_counts: tuple[int, ...],
-    seed: int,
+    scores: list[Score],
+    k: int,
+    model: KMeansModel,
 ) -> Segmentation:
-    features = FEATURES if status == SCALED else RAW_FEATURES
-    points = scaling.transform(complete_metrics(metrics)).persist()
-    try:
-        models = _fit_all(points, features, cluster_counts, seed)
-    finally:
-        points.unpersist()
-    # The first of equal scores wins, hence the smallest cluster count.
-    best, model = max(models, key=lambda m: m[0].silhouette)
-
     centers, scaled_centers = _both_units(model, scaling, status)
     spending = columns.index("total_spending") if "total_spending" in columns else 0
-    by_spending = sorted(range(best.k), key=lambda i: (centers[i][spending], centers[i]))
-    new_label = F.array(*[F.lit(by_spending.index(i)) for i in range(best.k)])
+    by_spending = sorted(range(k), key=lambda i: (centers[i][spending], centers[i]))
+    new_label = F.array(*[F.lit(by_spending.index(i)) for i in range(k)])
     customers = (
         model.transform(scaling.transform(complete_metrics(metrics)))
         .withColumn(LABEL, new_label[F.col(LABEL)])
@@ -179,8 +183,8 @@ def _cluster(
         status,
         metrics,
         customers,
-        best.k,
-        [score for score, _ in models],
+        k,
+        scores,
         [centers[i] for i in by_spending],
         [scaled_centers[i] for i in by_spending],
     )

@@ -22,10 +22,15 @@ def write_table(
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write a result; CSV gets a header. ``single_file`` makes one task write, for small results."""
+    """Write a result; CSV gets a header and keeps the spaces around values.
+
+    ``single_file`` makes one task write, for small results.
+    """
     writer = (df.coalesce(1) if single_file else df).write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True)
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)
