@@ -43,16 +43,19 @@ def transactions(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, directory: str) -> DataFrame:
+    # Orders meet their customers before the line items do, so that the largest table is shuffled for
+    # two joins at most.
     lines = table(spark, directory, "lineitem")
-    orders = table(spark, directory, "orders")
     parts = table(spark, directory, "part")
+    orders = table(spark, directory, "orders")
     customers = table(spark, directory, "customer")
     nations = table(spark, directory, "nation")
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(nations, customers.c_nationkey == nations.n_nationkey)
+    bought = orders.join(
+        customers.join(nations, customers.c_nationkey == nations.n_nationkey),
+        orders.o_custkey == customers.c_custkey,
+    )
+    return lines.join(parts, lines.l_partkey == parts.p_partkey).join(
+        bought, lines.l_orderkey == orders.o_orderkey
     )
 
 
