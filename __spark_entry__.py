@@ -50,7 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rejected_rows_null_dropped": lambda s, d: quality.rejected_rows(_flagged(s, d, "drop")),
         "unflagged_rows": lambda s, d: quality.unflagged_rows(_flagged(s, d, "drop")),
         "validation_rule_counts": lambda s, d: quality.rule_counts(
-            damaged_transactions(s, d), _rules()
+            damaged_transactions(s, d), quality.rules(F.col("expected_customer"))
         ),
         "quality_summary": lambda s, d: quality.summary(_flagged(s, d)),
         "typed_transactions": _typed,
@@ -168,12 +168,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def _rules():
-    return quality.rules(F.col("expected_customer"))
-
-
 def _flagged(spark: SparkSession, directory: str, on_null_flag: str = "error") -> DataFrame:
-    return quality.flag(damaged_transactions(spark, directory), _rules(), on_null_flag)
+    condition = quality.error_condition(F.col("expected_customer"))
+    return quality.flag(damaged_transactions(spark, directory), condition, on_null_flag)
 
 
 def _typed(spark: SparkSession, directory: str) -> DataFrame:

@@ -103,7 +103,7 @@ def test_validation_does_not_shuffle(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([tuple("1" * 10)], RAW).write.option("header", True).csv(path)
     raw = sources.read_raw(spark, path)
-    flagged = quality.flag(raw, quality.rules("STD_1"))
+    flagged = quality.flag(raw, quality.error_condition("STD_1"))
     for df in (*quality.split(flagged), quality.enforce_types(raw)):
         assert "Exchange" not in plan(df)
     assert "SinglePartition" in plan(quality.summary(flagged))
@@ -112,5 +112,5 @@ def test_validation_does_not_shuffle(spark, tmp_path):
 def test_split_is_read_by_partition(spark, tmp_path):
     path = str(tmp_path / "split")
     raw = spark.createDataFrame([tuple("1" * 10)], RAW)
-    sinks.write_validated(quality.flag(raw, quality.rules("STD_1")), path)
+    sinks.write_validated(quality.flag(raw, quality.error_condition("STD_1")), path)
     assert "PartitionFilters: [isnotnull(outcome" in plan(sinks.read_clean(spark, path))

@@ -64,7 +64,7 @@ def test_preprocess(spark, raw_file, tmp_path, fmt, policy, rejected):
     clean = sinks.read_clean(spark, output, fmt)
     assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in TYPED]
     flagged = quality.flag(
-        sources.read_raw(spark, raw_file), quality.rules(CUSTOMER), on_null_flag=policy
+        sources.read_raw(spark, raw_file), quality.error_condition(CUSTOMER), on_null_flag=policy
     )
     expected = quality.repair_totals(quality.enforce_types(quality.clean_rows(flagged)))
     assert sorted(clean.collect()) == sorted(expected.collect())
@@ -81,7 +81,7 @@ def test_preprocess(spark, raw_file, tmp_path, fmt, policy, rejected):
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_split_without_rejected_rows(spark, tmp_path, fmt):
     output = str(tmp_path / "split")
-    flagged = quality.flag(raw(spark, {}), quality.rules(CUSTOMER))
+    flagged = quality.flag(raw(spark, {}), quality.error_condition(CUSTOMER))
     sinks.write_validated(flagged, output, fmt)
     assert sinks.read_clean(spark, output, fmt).count() == 1
     assert sinks.read_rejected(spark, output, fmt).count() == 0

@@ -1,4 +1,6 @@
 import math
+from functools import reduce
+from operator import or_
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +45,7 @@ ACCEPTED = [
 
 
 def flagged(spark, changes, **options):
-    return quality.flag(raw(spark, *changes), quality.rules(CUSTOMER), **options)
+    return quality.flag(raw(spark, *changes), quality.error_condition(CUSTOMER), **options)
 
 
 def test_each_damage_is_rejected(spark):
@@ -79,7 +81,7 @@ def test_customer_rule_variants(spark):
     changes = [{}, {"customer_id": "STD_5"}, {"customer_id": "std_5"}]
 
     def kept(**options):
-        return quality.clean_rows(quality.flag(raw(spark, *changes), quality.rules(**options))).count()
+        return quality.clean_rows(quality.flag(raw(spark, *changes), quality.error_condition(**options))).count()
 
     assert kept() == 3
     assert kept(expected_customer=CUSTOMER) == 1
@@ -101,6 +103,17 @@ def test_rule_counts_list_every_rule(spark):
     }
 
 
+def test_condition_equals_the_rules(spark):
+    changes = [*REJECTED, *ACCEPTED, {"customer_id": None}, {"customer_id": None, "quantity": "-1"}]
+    options = {"expected_customer": CUSTOMER, "customer_pattern": "^STD_"}
+    any_rule = reduce(or_, quality.rules(**options).values())
+    both = raw(spark, *changes).select(
+        any_rule.alias("one"), quality.error_condition(**options).alias("two")
+    )
+    assert both.filter(~F.col("one").eqNullSafe(F.col("two"))).count() == 0
+    assert both.filter("two IS NULL").count() == 1
+
+
 def test_types_and_repair(spark):
     df = raw(
         spark,

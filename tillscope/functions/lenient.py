@@ -1,4 +1,8 @@
-"""Text conversions that give NULL instead of failing the job under ANSI mode."""
+"""Text conversions that give NULL instead of failing the job under ANSI mode.
+
+A cheap pattern test comes before the cast where failures inside the cast are costly or where the cast
+accepts more than it should.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +11,19 @@ from pyspark.sql import functions as F
 
 
 def lenient_int(column: str | Column) -> Column:
-    return _col(column).try_cast("int")
+    """Whole number in the range of an int; spaces around it are allowed."""
+    text = _col(column)
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("int"))
 
 
 def lenient_double(column: str | Column) -> Column:
     return _col(column).try_cast("double")
 
 
-def lenient_date(column: str | Column, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_col(column), pattern)
+def lenient_date(column: str | Column) -> Column:
+    """Existing day written as yyyy-MM-dd, with all its digits."""
+    text = _col(column)
+    return F.when(text.like("____-__-__"), text.try_cast("date"))
 
 
 def _col(column: str | Column) -> Column:

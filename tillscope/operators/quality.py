@@ -28,14 +28,35 @@ def rules(
     Zero quantities and negative totals are valid.
     """
     typed = conversions()
-    found = {
+    return {
         "date_missing": typed["transaction_date"].isNull(),
         "quantity_not_integer": typed["quantity"].isNull(),
         "quantity_negative": typed["quantity"] < 0,
         "price_not_numeric": typed["unit_price"].isNull(),
         "price_not_positive": typed["unit_price"] <= 0,
         "total_not_numeric": typed["total_amount"].isNull(),
-    }
+    } | _customer_rules(expected_customer, customer_pattern)
+
+
+def error_condition(
+    expected_customer: str | Column | None = None, customer_pattern: str | None = None
+) -> Column:
+    """Whether any of the rules holds, reading each field once."""
+    typed = conversions()
+    checks = [
+        typed["transaction_date"].isNull(),
+        F.coalesce(typed["quantity"] < 0, F.lit(True)),
+        F.coalesce(typed["unit_price"] <= 0, F.lit(True)),
+        typed["total_amount"].isNull(),
+        *_customer_rules(expected_customer, customer_pattern).values(),
+    ]
+    return reduce(or_, checks)
+
+
+def _customer_rules(
+    expected_customer: str | Column | None, customer_pattern: str | None
+) -> dict[str, Column]:
+    found = {}
     if expected_customer is not None:
         wanted = (
             F.lit(expected_customer) if isinstance(expected_customer, str) else expected_customer
@@ -46,16 +67,15 @@ def rules(
     return found
 
 
-def flag(raw: DataFrame, checks: dict[str, Column], on_null_flag: str = "error") -> DataFrame:
+def flag(raw: DataFrame, condition: Column, on_null_flag: str = "error") -> DataFrame:
     """Add the boolean ``has_error``.
 
-    The conditions are three-valued: a NULL customer id makes the flag NULL when nothing else is wrong.
+    The condition is three-valued: a NULL customer id makes it NULL when nothing else is wrong.
     ``error`` counts such a row as an error, so that clean and rejected rows add up to the input;
     ``drop`` keeps the NULL, and the row then belongs to neither side.
     """
     if on_null_flag not in NULL_FLAG_POLICIES:
         raise ValueError(f"on_null_flag must be one of {NULL_FLAG_POLICIES}, got {on_null_flag!r}")
-    condition = reduce(or_, checks.values())
     if on_null_flag == "error":
         condition = F.coalesce(condition, F.lit(True))
     return raw.withColumn(FLAG, condition)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -82,9 +84,12 @@ def segment(
     columns: list[str] = METRICS,
     cluster_counts: tuple[int, ...] = CLUSTER_COUNTS,
     seed: int = SEED,
+    parallelism: int = 4,
 ) -> Segmentation:
     """Cluster customers, trying every cluster count and keeping the best silhouette.
 
+    ``parallelism`` fits run at a time, sharing the executors.
+
     The metrics are checkpointed first: every fit makes many passes over them, one row per customer, and
     none over the transactions. Customers with a NULL metric are left out of the clusters.
     """
@@ -99,8 +104,9 @@ def segment(
         attempts.insert(0, (SCALED, FEATURES, cluster_counts))
     points = scaling.transform(usable).persist()
     try:
+        points.count()  # fill the cache before several fits ask for it
         for status, features, counts in attempts:
-            models = _fit_all(points, features, counts, seed)
+            models = _fit_all(points, features, counts, seed, parallelism)
             if models:
                 # The first of equal scores wins, hence the smallest cluster count.
                 best, model = max(models, key=lambda m: m[0].silhouette)
@@ -191,17 +197,25 @@ def _labelled(
 
 
 def _fit_all(
-    points: DataFrame, features: str, cluster_counts: tuple[int, ...], seed: int
+    points: DataFrame, features: str, cluster_counts: tuple[int, ...], seed: int, parallelism: int
 ) -> list[tuple[Score, KMeansModel]]:
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol=LABEL)
-    models: dict[int, tuple[Score, KMeansModel]] = {}
-    for k in sorted(cluster_counts):
+
+    def fit(k: int) -> tuple[Score, KMeansModel] | None:
         model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=LABEL).fit(points)
         found = len(model.clusterCenters())
-        # Fewer centres than asked for means fewer distinct points than that.
-        if found > 1 and found not in models:
-            score = evaluator.evaluate(model.transform(points))
-            models[found] = Score(found, score, model.summary.trainingCost), model
+        if found < 2:
+            return None
+        score = evaluator.evaluate(model.transform(points))
+        return Score(found, score, model.summary.trainingCost), model
+
+    with ThreadPool(max(1, min(parallelism, len(cluster_counts)))) as pool:
+        fitted = pool.map(inheritable_thread_target(points.sparkSession)(fit), sorted(cluster_counts))
+    # Fewer centres than asked for means fewer distinct points than that; such a fit counts once.
+    models: dict[int, tuple[Score, KMeansModel]] = {}
+    for result in fitted:
+        if result is not None:
+            models.setdefault(result[0].k, result)
     return list(models.values())
 
 

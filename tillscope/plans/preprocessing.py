@@ -24,8 +24,8 @@ def preprocess(
     The input is parsed once: both sides are written by the same job, which also counts them. Read the
     result with ``read_clean`` and ``read_rejected``.
     """
-    checks = quality.rules(expected_customer, customer_pattern)
-    flagged = quality.flag(read_raw(spark, raw_path), checks, on_null_flag)
+    condition = quality.error_condition(expected_customer, customer_pattern)
+    flagged = quality.flag(read_raw(spark, raw_path), condition, on_null_flag)
     counted = Observation("quality")
     write_validated(flagged.observe(counted, *quality.count_columns()), output, fmt)
     counts = counted.get

@@ -80,7 +80,7 @@ def event_amounts(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "events").select(
         _id("TXN_", "event_id").alias("transaction_id"),
         F.col("ts").cast("date").alias("transaction_date"),
-        F.date_format("ts", "HH:mm:ss").alias("transaction_time"),
+        F.substring(F.col("ts").cast("string"), 12, 8).alias("transaction_time"),
         _id("STD_", "user_id").alias("customer_id"),
         F.col("event_type").alias("product_id"),
         F.lit(1).alias("quantity"),
