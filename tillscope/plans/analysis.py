@@ -43,8 +43,13 @@ def analyze_weekly_spending(
     single_file: bool = False,
 ) -> SpendingReport:
     """Weekly spending per customer, with the number of active weeks and its distribution."""
-    weekly = spending.weekly(transactions, year_basis, ordered=ordered)
-    weekly = store(weekly, output, fmt, single_file=single_file)
+    weekly = store(
+        spending.weekly(transactions, year_basis),
+        output,
+        fmt,
+        single_file=single_file,
+        order_by=["customer_id", "year", "week"] if ordered else None,
+    )
     active = spending.active_weeks(weekly)
     return SpendingReport(weekly, active, spending.activity_histogram(active, ordered=True))
 

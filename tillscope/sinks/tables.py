@@ -19,14 +19,21 @@ def write_table(
     fmt: str = "parquet",
     *,
     single_file: bool = False,
+    order_by: list[str] | None = None,
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
     """Write a result; CSV gets a header and keeps the spaces around values.
 
-    ``single_file`` makes one task write, for small results.
+    ``single_file`` brings a small result into one file. Its rows are shuffled there, so that computing
+    them keeps all tasks busy.
     """
-    writer = (df.coalesce(1) if single_file else df).write.mode(mode)
+    if single_file:
+        df = df.repartition(1)
+        df = df.sortWithinPartitions(*order_by) if order_by else df
+    elif order_by:
+        df = df.orderBy(*order_by)
+    writer = df.write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True)
         writer = writer.option("ignoreLeadingWhiteSpace", False)
@@ -37,10 +44,15 @@ def write_table(
 
 
 def store(
-    df: DataFrame, path: str, fmt: str = "parquet", *, single_file: bool = False
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    *,
+    single_file: bool = False,
+    order_by: list[str] | None = None,
 ) -> DataFrame:
     """Write a result and return it as read from there, so that using it does not recompute it."""
-    write_table(df, path, fmt, single_file=single_file)
+    write_table(df, path, fmt, single_file=single_file, order_by=order_by)
     reader = df.sparkSession.read.schema(df.schema)
     if fmt == "csv":
         reader = reader.option("header", True)
