@@ -95,9 +95,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             segments.cluster_profile(_labelled(s, d)), "sum_spending", 2
         ),
         "cluster_profile_detailed_fixed_labels": lambda s, d: _rounded(
-            segments.cluster_profile(_labelled(s, d), detailed=True),
-            ["sum_spending", "avg_orders", "avg_spending", "avg_products"],
-            2,
+            _rounded(
+                segments.cluster_profile(_labelled(s, d), detailed=True), "sum_spending", 2
+            ),
+            ["avg_orders", "avg_spending", "avg_products"],
+            4,
         ),
         "k_selection": lambda s, d: segments.score_table(segments.segment(_metrics(s, d))),
         "customer_clusters": lambda s, d: segments.segment(_metrics(s, d)).customers,
@@ -447,9 +449,9 @@ def oracle_sql() -> dict[str, str]:
         "CAST(sum(unique_products) AS BIGINT) AS sum_products{more} FROM labelled GROUP BY prediction"
     )
     averages = (
-        ", round(sum(total_orders) / count(customer_id), 2) AS avg_orders"
-        ", round(sum(total_spending) / count(customer_id), 2) AS avg_spending"
-        ", round(sum(unique_products) / count(customer_id), 2) AS avg_products"
+        ", round(sum(total_orders) / count(customer_id), 4) AS avg_orders"
+        ", round(sum(total_spending) / count(customer_id), 4) AS avg_spending"
+        ", round(sum(unique_products) / count(customer_id), 4) AS avg_products"
     )
     weekly = (
         "SELECT customer_id, year, week, round(weekly_spending, 2) AS weekly_spending FROM weekly"
