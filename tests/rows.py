@@ -2,7 +2,7 @@
 
 from tillscope.schema import COLUMNS, RAW, TYPED
 
-CUSTOMER = "STD_172100280"
+CUSTOMER = "STD_123456789"
 GOOD = {
     "transaction_id": "TXN_10000",
     "transaction_date": "2023-05-06",

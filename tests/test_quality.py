@@ -13,16 +13,16 @@ REJECTED = [
     *[
         {"customer_id": c}
         for c in [
-            "STD172100280",
-            "std_172100280",
-            "STD_172100280_",
-            "STD-172100280",
+            "STD123456789",
+            "std_123456789",
+            "STD_123456789_",
+            "STD-123456789",
             "STD_54321",
-            "STD_17",
+            "STD_12",
             "STD_",
-            "172100280",
-            "ST_172100280",
-            " STD_172100280",
+            "123456789",
+            "ST_123456789",
+            " STD_123456789",
         ]
     ],
     *[{"quantity": q} for q in ["5a", "5b", "5c", "-5", "2.7", "", None]],
