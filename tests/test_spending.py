@@ -114,3 +114,25 @@ def test_profiles_of_nothing(spark):
     row = profiling.summary_numeric(empty, ["total_spending"]).first()
     assert row["count"] == 0 and row.p50 is None and row["max"] is None
     assert spending.weekly(sales(spark, [])).count() == 0
+
+
+def test_dominant_customer(spark):
+    """A customer with a third of all rows, over several tasks, against plain counting."""
+    df = spark.range(0, 30000, numPartitions=8).select(
+        F.concat(F.lit("TXN_"), F.col("id")).alias("transaction_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 366).cast("int")).alias(
+            "transaction_date"
+        ),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 50)).alias(
+            "customer_id"
+        ),
+        F.concat(F.lit("p"), F.col("id") % 1000).alias("product_id"),
+        F.lit(2.0).alias("total_amount"),
+    )
+    metrics = {r.customer_id: tuple(r)[1:] for r in customers.customer_metrics(df).collect()}
+    assert metrics["hot"] == (10000, 20000.0, 1000)
+    assert sum(m[0] for m in metrics.values()) == 30000
+    found = weeks(spending.weekly(df))
+    # Days repeat every 366 rows, a multiple of three, so the hot rows fall on every third day only.
+    assert sum(v for (c, _, _), v in found.items() if c == "hot") == 20000.0
+    assert sum(found.values()) == 60000.0
