@@ -34,6 +34,14 @@ from tillscope.sources.star import (  # noqa: E402
     table,
 )
 
+try:  # the only place that allows for a library without the training-data package
+    import corpus_pipeline
+    from tillscope.llm import registry as llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "tillscope.llm"):
+        raise
+    llm = None
+
 SMALL_REACH = 0.2  # IQR multiplier that gives the event amounts a low side
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
@@ -43,6 +51,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # validation
         "valid_rows": lambda s, d: quality.clean_rows(_flagged(s, d)),
