@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -60,3 +60,29 @@ def ascii_lower(text: Column) -> Column:
 def smallest(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
     """A bounded, repeatable sample: the first rows by the given order."""
     return df.orderBy(*order).limit(limit)
+
+
+def sample_per_class(rows: DataFrame, id: str, label: str, each: int) -> DataFrame:
+    """At most ``each`` rows (id, label) of every label: those whose ids have the smallest hashes.
+
+    The count of a label sets a bound on the hash that about three times ``each`` rows pass, so ranking sees few rows.
+    """
+    order = F.xxhash64(id)
+    counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count().collect()
+    near = F.lit(False)
+    for r in counts:
+        bound = int(-(1 << 63) + (1 << 64) * min(1.0, (3 * each + 50) / r["count"])) - 1
+        near = near | ((F.col(label) == r[label]) & (order <= F.lit(bound)))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(order, id))
+    return (
+        rows.select(id, label)
+        .filter(near)
+        .withColumn("_rank", rank)
+        .filter(F.col("_rank") <= each)
+        .drop("_rank")
+    )
+
+
+def remainder(id: str, divisor: int) -> Column:
+    """crc32 of the id as text, modulo the divisor; NULL ids have none."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % divisor

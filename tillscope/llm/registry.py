@@ -1,10 +1,13 @@
 """Queries of this package and their SQL, where SQL can express them."""
 
+from . import queries_models as models
 from . import queries_tokens as tokens
 
 QUERIES = {
     "op1_bpe_encoding": tokens.op1_bpe_encoding,
     "op6_token_files": tokens.op6_token_files,
+    "op9_quality": models.op9_quality,
+    "op10_language": models.op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}
