@@ -1,15 +1,19 @@
 """Queries of this package and their SQL, where SQL can express them."""
 
 from . import queries_duplicates as duplicates
+from . import queries_filters as filters
 from . import queries_models as models
 from . import queries_tokens as tokens
 
 QUERIES = {
     "op1_bpe_encoding": tokens.op1_bpe_encoding,
+    "op3_decontamination": filters.op3_decontamination,
     "op6_token_files": tokens.op6_token_files,
     "op7_simhash": duplicates.op7_simhash,
     "op9_quality": models.op9_quality,
     "op10_language": models.op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": filters.OP3_SQL,
+}
