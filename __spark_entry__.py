@@ -453,6 +453,10 @@ def _percentile_columns(column: str, named: dict[str, float]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm.ORACLE_SQL if llm else {})
+
+
+def _own_sql() -> dict[str, str]:
     kept = "SELECT * EXCLUDE (broken) FROM flagged WHERE "
     metrics_rounded = (
         "SELECT customer_id, total_orders, round(total_spending, 2) AS total_spending, "
