@@ -10,10 +10,12 @@ QUERIES = {
     "op3_decontamination": filters.op3_decontamination,
     "op6_token_files": tokens.op6_token_files,
     "op7_simhash": duplicates.op7_simhash,
+    "op8_line_dedup": duplicates.op8_line_dedup,
     "op9_quality": models.op9_quality,
     "op10_language": models.op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": filters.OP3_SQL,
+    "op8_line_dedup": duplicates.OP8_SQL,
 }
