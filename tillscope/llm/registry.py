@@ -1,5 +1,6 @@
 """Queries of this package and their SQL, where SQL can express them."""
 
+from . import queries_chats as chats
 from . import queries_duplicates as duplicates
 from . import queries_filters as filters
 from . import queries_models as models
@@ -7,6 +8,7 @@ from . import queries_tokens as tokens
 
 QUERIES = {
     "op1_bpe_encoding": tokens.op1_bpe_encoding,
+    "op2_chat_formatting": chats.op2_chat_formatting,
     "op3_decontamination": filters.op3_decontamination,
     "op6_token_files": tokens.op6_token_files,
     "op7_simhash": duplicates.op7_simhash,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": chats.OP2_SQL,
     "op3_decontamination": filters.OP3_SQL,
     "op8_line_dedup": duplicates.OP8_SQL,
 }
