@@ -5,11 +5,13 @@ from . import queries_duplicates as duplicates
 from . import queries_filters as filters
 from . import queries_models as models
 from . import queries_tokens as tokens
+from . import queries_vectors as vectors
 
 QUERIES = {
     "op1_bpe_encoding": tokens.op1_bpe_encoding,
     "op2_chat_formatting": chats.op2_chat_formatting,
     "op3_decontamination": filters.op3_decontamination,
+    "op5_nearest_neighbours": vectors.op5_nearest_neighbours,
     "op6_token_files": tokens.op6_token_files,
     "op7_simhash": duplicates.op7_simhash,
     "op8_line_dedup": duplicates.op8_line_dedup,
