@@ -86,3 +86,33 @@ def sample_per_class(rows: DataFrame, id: str, label: str, each: int) -> DataFra
 def remainder(id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; NULL ids have none."""
     return F.crc32(F.col(id).cast("string").cast("binary")) % divisor
+
+
+#: Keys of documents are broadcast up to this number (16 bytes each); beyond it they are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+_NULL_ID = -(1 << 63)
+
+
+def key_columns(id: str, text: str) -> list[Column]:
+    """What tells rows apart whose results may differ: the id, and a hash of the text."""
+    return [
+        F.coalesce(F.col(id).cast("long"), F.lit(_NULL_ID)).alias("_id"),
+        F.xxhash64(F.col(text).cast("string")).alias("_hash"),
+    ]
+
+
+def keyed_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """All columns as the struct ``row``, beside the key; so names of the input never clash with others."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *key_columns(id, text))
+
+
+def bounded(keys: DataFrame) -> DataFrame:
+    """The keys, marked for broadcasting if their counted number is small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def without(docs: DataFrame, keys: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose key is not among ``keys`` (columns id and text_hash)."""
+    keys = saved(keys.select(F.coalesce("id", F.lit(_NULL_ID)).alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    return keyed_rows(docs, id, text).join(bounded(keys), ["_id", "_hash"], "left_anti").select("row.*")

@@ -9,25 +9,28 @@ from . import string_kernel, subwords
 from .common import remainder, table
 
 
-def _held_out(divisor: int, rest: int) -> Column:
-    return F.coalesce(remainder("doc_id", divisor) == rest, F.lit(False))
+def _held_out(divisor: int, rest: int, id: str = "doc_id") -> Column:
+    return F.coalesce(remainder(id, divisor) == rest, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document, learned from labels outside the held-out third."""
+def quality_scored(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` as the struct ``row`` with score; learned from ``docs`` with labels outside the held-out third."""
     usable = labels.filter((remainder("doc_id", 3) != 1) & F.col("quality").isin(0, 1))
     model = subwords.train(docs, usable, label="quality")
-    good = model.classes.index(1) if 1 in model.classes else None
-    p = F.lit(0.5 if not model.classes else 0.0) if good is None else F.col("probabilities")[good]
-    return (
-        subwords.score(docs, model)
-        .select(F.col("id").alias("doc_id"), p.cast("double").alias("score"))
-        .select(
-            "doc_id",
-            _held_out(3, 1).alias("held_out"),
-            "score",
-            (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        )
+    if not model.classes:
+        score = F.lit(0.5)
+    else:
+        score = F.col("probabilities")[model.classes.index(1)] if 1 in model.classes else F.lit(0.0)
+    return subwords.score(rows, model).select("row", score.cast("double").alias("score"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document."""
+    return quality_scored(docs, docs.select("doc_id", "text"), labels).select(
+        "row.doc_id",
+        _held_out(3, 1, "row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import bounded, keyed_rows, saved, without
 from .components import components
 from .tokens import texts_of
 
@@ -93,6 +93,24 @@ def groups(marked: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     return marked.join(named, "fingerprint")
 
 
+def survivors(docs: DataFrame, grouped: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without all but one document of each group; ``grouped`` comes from ``groups``.
+
+    The document with the smallest id stays (of NULL ids none, if there is another one), of rows with one id the one with
+    the smallest text hash, of equal rows one.
+    """
+    place = F.struct(F.col("id").isNull().alias("null"), "id", "text_hash")
+    counted = saved(grouped.groupBy("root", "id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    first = counted.groupBy("root").agg(F.min(place).alias("first"))
+    ranked = saved(counted.join(first, "root").select("id", "text_hash", "n", (place == F.col("first")).alias("stays")))
+    leaving = ranked.filter("NOT stays OR n > 1").select("id", "text_hash")
+    repeated = ranked.filter("stays AND n > 1").select(
+        F.coalesce("id", F.lit(-(1 << 63))).alias("_id"), F.col("text_hash").alias("_hash")
+    )
+    once = keyed_rows(docs, id, text).join(bounded(repeated), ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return without(docs, leaving, id, text).unionByName(once.select("row.*"))
+
+
 def _links(nodes: DataFrame, most_bits: int) -> DataFrame:
     fp = F.col("fingerprint")
     halves = F.array(

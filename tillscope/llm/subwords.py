@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import sample_per_class
 from .tokens import is_space, ragged, texts_of
@@ -81,8 +82,8 @@ def train(
     return model
 
 
-def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and ``probabilities`` (array of double, in the order of ``model.classes``) of every document."""
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Every row as the struct ``row``, with ``probabilities`` (array of double, in the order of ``model.classes``)."""
     spread = docs.sparkSession.sparkContext.broadcast((model.table(), model.bias))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,14 +94,13 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
                 or [np.zeros((0, len(bias)), np.float32)]
             )
             p = softmax((logits + bias).astype(np.float64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.FixedSizeListArray.from_arrays(p.ravel(), p.shape[1]).cast(pa.list_(pa.float64()))],
-                names=["id", "probabilities"],
-            )
+            bounds = np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["row", "probabilities"])
 
-    schema = "id long, probabilities array<double>"
-    chosen = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(scored, schema)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    schema = StructType([StructField("row", docs.schema), StructField("probabilities", ArrayType(DoubleType()))])
+    return docs.select(row, F.col(text).cast("string").alias("text")).mapInArrow(scored, schema)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
