@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
-from .common import table
+from . import decontaminate, secrets
+from .common import saved, table
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,3 +52,18 @@ OP3_SQL = r"""
            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
     FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named m ON d.doc_id = m.doc_id
 """
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate of every document with its judgement; values leave as digests."""
+    docs = table(spark, folder, "documents")
+    found = saved(secrets.features(secrets.candidates(docs), secrets.dictionary(docs)))
+    model = secrets.train(found.withColumn("label", secrets.rule_labels()))
+    return secrets.judge(found, model).select(
+        F.col("id").alias("doc_id"),
+        "place",
+        F.length("value").alias("n_chars"),
+        F.sha2("value", 256).alias("value_sha256"),
+        F.round("probability", 6).alias("probability"),
+        "is_secret",
+    )

@@ -11,6 +11,7 @@ QUERIES = {
     "op1_bpe_encoding": tokens.op1_bpe_encoding,
     "op2_chat_formatting": chats.op2_chat_formatting,
     "op3_decontamination": filters.op3_decontamination,
+    "op4_secret_scan": filters.op4_secret_scan,
     "op5_nearest_neighbours": vectors.op5_nearest_neighbours,
     "op6_token_files": tokens.op6_token_files,
     "op7_simhash": duplicates.op7_simhash,
