@@ -4,8 +4,9 @@ Texts are lower-cased in A-Z; a word is a run of digits, a-z and characters beyo
 consecutive words of an item; an item of fewer words, but not none, is one window. A document's word is hit if it stands in
 an occurrence of any window.
 
-The distinct windows are normalised and hashed, and broadcast as a hash set if they are few enough; the documents' windows
-are hashed where the texts are, probed against it, and hits verified word by word. Only hits and one narrow row for each
+The distinct windows are normalised and hashed, and broadcast as a hash set if they are few enough, under their longest
+word. The documents' words are probed against it where the texts are; the window around a match is hashed, compared, and
+verified word by word. Only hits and one narrow row for each
 document are shuffled. All of it are DataFrame functions.
 
 NULL and empty texts have no words and no hits. Rows that agree in id and text share their hits; each gives a row. Items
@@ -63,35 +64,37 @@ def hits(
         .select("item_id", "n", "span", F.xxhash64("span").alias("digest"))
         .distinct()
     )
-    distinct = spans.select("n", "digest", "span").distinct()
-    lengths = sorted(r.n for r in spans.select("n").distinct().collect())  # at most ``window`` values
-    if distinct.count() <= broadcast_windows:
-        distinct = F.broadcast(distinct)
+    # Each window is looked for at its longest word, the first of those; that word is rarer than most.
+    longest = F.aggregate("span", F.lit(""), lambda m, w: F.when(F.length(w) > F.length(m), w).otherwise(m))
+    windows = (
+        spans.select("n", "digest", "span")
+        .distinct()
+        .withColumn("pivot", longest)
+        .select("n", "digest", "span", F.xxhash64("pivot").alias("pivot"), (F.array_position("span", F.col("pivot")) - 1).cast("int").alias("offset"))
+    )
     docs = docs.select(
         F.col(id).alias("doc_id"),
         F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
         words(text_or_empty(text)).alias("w"),
     )
-    found = None
-    for n in lengths or [window]:
-        probes = (
-            docs.filter(F.size("w") >= n)
-            .select(
-                "doc_id",
-                "text_hash",
-                "w",
-                F.posexplode(
-                    F.transform(
-                        F.sequence(F.lit(1), F.size("w") - n + 1),
-                        lambda i: F.xxhash64(F.slice("w", i, n)),
-                    )
-                ).alias("at", "digest"),
-            )
-            .join(distinct.filter(F.col("n") == n), "digest")
-            .filter(F.slice("w", F.col("at") + 1, F.lit(n)) == F.col("span"))
-            .select("doc_id", "text_hash", "at", F.lit(n).alias("n"), "digest")
+    at = F.col("place") - F.col("offset")
+    same = F.slice("w", at + 1, F.col("n"))
+    fits = (at >= 0) & (at + F.col("n") <= F.size("w"))
+    hit = F.when(fits, (F.xxhash64(same) == F.col("digest")) & (same == F.col("span")))
+    key = ["doc_id", "text_hash"]
+    if windows.count() <= broadcast_windows:
+        found = (
+            docs.select(*key, "w", F.posexplode("w").alias("place", "word"))
+            .join(F.broadcast(windows), F.xxhash64("word") == F.col("pivot"))
+            .filter(hit)
         )
-        found = probes if found is None else found.union(probes)
+    else:  # only places are shuffled to the windows, then texts to the places
+        places = docs.select(*key, F.posexplode("w").alias("place", "word")).select(*key, "place", F.xxhash64("word").alias("pivot"))
+        near = places.join(windows, "pivot").withColumnsRenamed({"doc_id": "of", "text_hash": "hash"})
+        found = docs.join(
+            near, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("hash"))
+        ).filter(hit)
+    found = found.select(*key, at.alias("at"), "n", "digest")
     return found, spans.select("digest", "n", "item_id", "span")
 
 
