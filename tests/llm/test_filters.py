@@ -1,0 +1,75 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillscope.llm import decontaminate, secrets
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def plain_report(docs, items):
+    out = []
+    for id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for item, benchmark in items:
+            b = words(benchmark)
+            n = min(13, len(b))
+            spans = {tuple(b[k : k + n]) for k in range(len(b) - n + 1)} if n else set()
+            for k in range(len(w) - n + 1) if n else ():
+                if tuple(w[k : k + n]) in spans:
+                    hit.update(range(k, k + n))
+                    if item is not None:
+                        found.add(str(item))
+        out.append((str(id), len(w), len(hit), sorted(found)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+def test_hits_against_brute_force(spark, limit):
+    rng = np.random.default_rng(4)
+    vocabulary = ["the", "of", "Éa", "x1", "longerword", "WORD", "a"]
+    make = lambda n: " ".join(rng.choice(vocabulary, n))
+    items = [(10, make(20)), (9, make(30)), (9, make(5)), (100, "solo-unique"), (None, make(14)), (7, ""), (8, None), (11, "the the the " * 5)]
+    items += [(12, items[0][1]), (12, items[0][1])]
+    docs = [(k, make(40) + " " + str(items[k % 6][1]).upper() + "!" + make(int(rng.integers(0, 60)))) for k in range(12)]
+    docs += [(20, None), (21, ""), (22, " .,"), (23, "solo unique"), (23, "Solo,Unique"), (23, "solo unique"), (None, items[1][1]), (24, "the " * 5000)]
+    d = spark.createDataFrame([(i, t, "clash", 0) for i, t in docs], "doc_id long, text string, w string, n int")
+    b = spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id long, text string, span string")
+    found = decontaminate.report(d, b, broadcast_windows=limit).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in found) == plain_report(docs, items)
+    assert {r["items"] == [] for r in decontaminate.report(d, b.limit(0)).collect()} == {True}
+    assert decontaminate.report(d.limit(0), b).count() == 0
+
+
+def secret_texts():
+    digest = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    docs, truth = [], {}
+    for k in range(240):
+        value = [digest(k)[:40], "AKIA" + digest(k).upper()[:16], digest(k)[:18], f"10.{k}.1{k % 90}.200", f"name.{k}00@mail.example.com", f"44{k:014d}"][k % 6]
+        around = ['the token = "{}" of', "use {} now", "password={} and", "from {} by", "to {} or", "call {} in"][k % 6]
+        docs.append((k, "of the words and more of them " * 3 + around.format(value)))
+        truth[k] = k % 6 < 3
+    return docs, truth
+
+
+def test_held_out_findings(spark):
+    docs, truth = secret_texts()
+    docs += [(900, None), (901, ""), (902, "a" * 50_000 + " nothing here")]
+    d = spark.createDataFrame([(i, t, "clash", 1) for i, t in docs], "doc_id long, text string, value string, w int")
+    found = secrets.features(secrets.candidates(d), secrets.dictionary(d)).cache()
+    kinds = spark.createDataFrame(list(truth.items()), "id long, secret boolean")
+    labelled = found.join(kinds, "id").withColumn("label", F.col("secret").cast("int"))
+    model = secrets.train(labelled.filter("id % 4 <> 0"))
+    judged = secrets.judge(labelled.filter("id % 4 = 0").select(found.columns), model).collect()
+    assert len(judged) == 60
+    assert sum(r.is_secret == truth[r.id] for r in judged) >= 58
+    # Without both kinds of labels nothing is removed.
+    assert secrets.train(labelled.filter("label = 1")) is None
+    assert {r.is_secret for r in secrets.judge(found, None).collect()} == {True}
+    none = d.limit(0)
+    assert secrets.features(secrets.candidates(none), secrets.dictionary(none)).count() == 0
