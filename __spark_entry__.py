@@ -26,7 +26,6 @@ from tillscope.operators import (  # noqa: E402
     trends,
 )
 from tillscope.schema import METRICS  # noqa: E402
-from tillscope.sinks import cut_lineage  # noqa: E402
 from tillscope.sources.star import (  # noqa: E402
     damaged_transactions,
     event_amounts,
@@ -93,7 +92,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             profiling.describe_numeric(_metrics(s, d), METRICS), ["mean", "stddev", "min", "max"], 2
         ),
         "metrics_tail_percentiles": lambda s, d: _rounded(
-            profiling.tail_percentiles(cut_lineage(_metrics(s, d)), METRICS),
+            profiling.tail_percentiles(_metrics(s, d), METRICS),
             ["min", *profiling.TAILS, "max"],
             2,
         ),
@@ -102,7 +101,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         # segments
         "scaled_metrics": lambda s, d: _rounded(
-            segments.scaled_metrics(cut_lineage(_metrics(s, d))),
+            segments.scaled_metrics(_metrics(s, d)),
             [f"scaled_{c}" for c in METRICS],
             6,
         ),
@@ -250,7 +249,7 @@ def _median(spark: SparkSession, directory: str) -> DataFrame:
 
 def _narrowed_quantiles(spark: SparkSession, directory: str) -> DataFrame:
     """The form for inputs of any size, whatever the size of this one."""
-    found = quantiles.quantiles(event_amounts(spark, directory), ["total_amount"], QUANTILES, small=0)
+    found = quantiles.quantiles(event_amounts(spark, directory), ["total_amount"], QUANTILES)
     return spark.createDataFrame(
         list(found["total_amount"].items()), "probability double, value double"
     )

@@ -95,9 +95,12 @@ def test_export_columns(spark, method, extra):
     assert anomalies.export_columns(df).columns == [*COLUMNS, *extra]
 
 
-def test_sketched_quartiles(spark):
-    df = amounts(spark, VALUES)
-    assert anomalies.quartiles(df, accuracy=10000) == anomalies.quartiles(df)
+def test_one_nonfinite_amount_changes_nothing_else(spark):
+    ordinary = [float(k % 10) for k in range(100)]
+    for odd in (float("nan"), float("inf")):
+        assert anomalies.by_zscore(amounts(spark, [*ordinary, odd])).count() == 0
+        found = anomalies.by_zscore(amounts(spark, [*ordinary, 1000.0, odd])).collect()
+        assert [r.total_amount for r in found] == [1000.0]
 
 
 def test_other_amount_column(spark):

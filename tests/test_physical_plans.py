@@ -114,19 +114,3 @@ def test_split_is_read_by_partition(spark, tmp_path):
     raw = spark.createDataFrame([tuple("1" * 10)], RAW)
     sinks.write_validated(quality.flag(raw, quality.error_condition("STD_1")), path)
     assert "PartitionFilters: [isnotnull(outcome" in plan(sinks.read_clean(spark, path))
-
-
-def test_single_file_keeps_the_computation_parallel(spark, stored, tmp_path):
-    path = str(tmp_path / "suspects")
-    suspects = anomalies.by_median(stored)
-    tasks = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("single", "single")
-    sinks.write_table(suspects, path, single_file=True)
-    stages = [
-        tasks.getStageInfo(i).numTasks
-        for job in tasks.getJobIdsForGroup("single")
-        for i in tasks.getJobInfo(job).stageIds
-    ]
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert max(stages) == suspects.rdd.getNumPartitions() > 1
-    assert len(list((tmp_path / "suspects").glob("part-*"))) == 1

@@ -31,7 +31,6 @@ def awkward():
     )
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])
 @pytest.mark.parametrize(
     "values",
     [
@@ -43,46 +42,51 @@ def awkward():
     ],
     ids=["awkward", "one", "constant", "cents", "integers"],
 )
-def test_both_forms_are_exact(spark, values, small):
-    assert quantiles(frame(spark, values), ["v"], PROBABILITIES, small=small)["v"] == expected(values)
+def test_values_are_exact(spark, values):
+    assert quantiles(frame(spark, values), ["v"], PROBABILITIES)["v"] == expected(values)
 
 
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=60))
 def test_narrowing_is_exact(spark, values):
     probabilities = [0.25, 0.5, 0.75]
-    found = quantiles(frame(spark, values), ["v"], probabilities, small=0)["v"]
+    found = quantiles(frame(spark, values), ["v"], probabilities)["v"]
     assert found == expected(values, probabilities)
 
 
 def test_nan_sorts_last_and_null_is_left_out(spark):
     df = frame(spark, [1.0, None, 2.0, math.nan, None])
-    for small in (0, 1_000_000):
-        found = quantiles(df, ["v"], [0.5, 1.0], small=small)["v"]
-        assert found[0.5] == 2.0 and math.isnan(found[1.0])
+    found = quantiles(df, ["v"], [0.5, 1.0])["v"]
+    assert found[0.5] == 2.0 and math.isnan(found[1.0])
 
 
 def test_several_columns_and_no_values(spark):
     df = spark.createDataFrame(
         [(i, float(-i), None) for i in range(1, 10)], "a int, b double, c double"
     )
-    for small in (0, 1_000_000):
-        found = quantiles(df, ["a", "b", "c"], [0.5, 0.9], small=small)
-        assert found == {
-            "a": {0.5: 5.0, 0.9: 9.0},
-            "b": {0.5: -5.0, 0.9: -1.0},
-            "c": {0.5: None, 0.9: None},
-        }
-    empty = quantiles(df.filter("false"), ["a"], [0.5], small=0)
+    assert quantiles(df, ["a", "b", "c"], [0.5, 0.9]) == {
+        "a": {0.5: 5.0, 0.9: 9.0},
+        "b": {0.5: -5.0, 0.9: -1.0},
+        "c": {0.5: None, 0.9: None},
+    }
+    empty = quantiles(df.filter("false"), ["a"], [0.5])
     assert empty == {"a": {0.5: None}}
 
 
 def test_one_value_holding_most_rows(spark):
     values = [10.25] * 4000 + [i / 100 for i in range(2000)]
-    assert quantiles(frame(spark, values), ["v"], PROBABILITIES, small=0)["v"] == expected(values)
+    assert quantiles(frame(spark, values), ["v"], PROBABILITIES)["v"] == expected(values)
 
 
-def test_accuracy_gives_sketched_values(spark):
-    df = spark.range(1000).selectExpr("cast(id as double) v")
-    found = quantiles(df, ["v"], [0.5], accuracy=10000)["v"]
-    assert found == {0.5: 499.0}
+def test_few_distinct_values_take_one_scan(spark):
+    from tillscope.operators import quantiles as module
+
+    passes, locate = [], module._locate
+    module._locate = lambda *a: passes.append(1) or locate(*a)
+    try:
+        quantiles(frame(spark, [1.0, 2.0, 3.0] * 50), ["v"], PROBABILITIES)
+        assert len(passes) == 1
+        quantiles(frame(spark, awkward()), ["v"], PROBABILITIES)
+        assert len(passes) - 1 <= 3
+    finally:
+        module._locate = locate

@@ -113,8 +113,10 @@ def test_unscaled_when_scaling_overflows(spark):
 
 def test_customers_with_nulls_stay_out_of_clusters(spark):
     data = blobs(spark).union(metrics(spark, [(1, None, 2)]).withColumn("customer_id", F.lit("x")))
+    data = data.union(metrics(spark, [(1, float("inf"), 2)]).withColumn("customer_id", F.lit("y")))
     found = segments.segment(data, cluster_counts=(3,))
-    assert found.customers.count() == 90 and found.metrics.count() == 91
+    assert found.status == segments.SCALED
+    assert found.customers.count() == 90 and found.metrics.count() == 92
 
 
 def test_silhouette_by_brute_force(spark):

@@ -6,8 +6,12 @@ accepts more than it should.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def lenient_int(column: str | Column) -> Column:
@@ -17,13 +21,28 @@ def lenient_int(column: str | Column) -> Column:
 
 
 def lenient_double(column: str | Column) -> Column:
-    return _col(column).try_cast("double")
+    """Finite decimal number; NaN, infinities, numbers beyond the range of a double and type suffixes are not read."""
+    text = _col(column)
+    value = text.try_cast("double")
+    return F.when(text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$") & is_finite(value), value)
 
 
 def lenient_date(column: str | Column) -> Column:
     """Existing day written as yyyy-MM-dd, with all its digits."""
     text = _col(column)
-    return F.when(text.like("____-__-__"), text.try_cast("date"))
+    return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+
+
+def is_finite(column: str | Column) -> Column:
+    """Neither NaN nor infinite; NULL for NULL."""
+    return F.abs(_col(column)) < float("inf")  # NaN sorts above infinity
+
+
+def complete(df: DataFrame, columns: list[str]) -> Column:
+    """Whether none of the columns is NULL, NaN or infinite."""
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))}
+    checks = [F.coalesce(is_finite(c), F.lit(False)) if c in numeric else F.col(c).isNotNull() for c in columns]
+    return reduce(and_, checks, F.lit(True))
 
 
 def _col(column: str | Column) -> Column:

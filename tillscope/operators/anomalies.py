@@ -12,19 +12,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.functions.lenient import is_finite
 from tillscope.operators.quantiles import quantiles
 from tillscope.schema import COLUMNS
 
 AMOUNT = "total_amount"
 # Thresholds used when the caller gives none.
 DEFAULTS = {"zscore": 3.0, "iqr": 1.5, "median": 5.0}
+# Method columns and columns shown in reports.
 METHOD_COLUMNS = ["zscore", "threshold", "lower_bound", "upper_bound"]
 SHOWN = ["transaction_id", "transaction_date", "customer_id", "total_amount"]
 
 
 def moments(df: DataFrame, amount: str = AMOUNT) -> DataFrame:
-    """Mean and sample standard deviation of the amount."""
-    return df.agg(F.avg(amount).alias("mean"), F.stddev_samp(amount).alias("stddev"))
+    """Mean and sample standard deviation of the finite amounts."""
+    value = F.when(is_finite(amount), F.col(amount))
+    return df.agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("stddev"))
 
 
 @dataclass(frozen=True)
@@ -50,18 +53,18 @@ class Quartiles:
         return _constant(None if self.median is None else self.median * multiplier)
 
 
-def quartiles(df: DataFrame, amount: str = AMOUNT, accuracy: int | None = None) -> Quartiles:
-    found = quantiles(df, [amount], [0.25, 0.5, 0.75], accuracy)[amount]
+def quartiles(df: DataFrame, amount: str = AMOUNT) -> Quartiles:
+    found = quantiles(df, [amount], [0.25, 0.5, 0.75])[amount]
     return Quartiles(*found.values())
 
 
-def median(df: DataFrame, amount: str = AMOUNT, accuracy: int | None = None) -> Quartiles:
+def median(df: DataFrame, amount: str = AMOUNT) -> Quartiles:
     """Like ``quartiles``, with the median only."""
-    return Quartiles(None, quantiles(df, [amount], [0.5], accuracy)[amount][0.5], None)
+    return Quartiles(None, quantiles(df, [amount], [0.5])[amount][0.5], None)
 
 
 def zscores(df: DataFrame, amount: str = AMOUNT) -> DataFrame:
-    """Add ``zscore``; NULL when the spread is zero or unknown."""
+    """Add ``zscore``; NULL when the spread is zero or unknown, and for amounts that are not finite."""
     return df.withColumn("zscore", _zscore(df, amount))
 
 
@@ -76,10 +79,9 @@ def by_iqr(
     df: DataFrame,
     multiplier: float = DEFAULTS["iqr"],
     amount: str = AMOUNT,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """Rows strictly outside the quartile bounds."""
-    lower, upper = quartiles(df, amount, accuracy).bounds(multiplier)
+    lower, upper = quartiles(df, amount).bounds(multiplier)
     outside = (F.col(amount) < lower) | (F.col(amount) > upper)
     return df.filter(outside).withColumns(
         {"is_anomaly": F.lit(True), "lower_bound": lower, "upper_bound": upper}
@@ -98,10 +100,9 @@ def by_median(
     df: DataFrame,
     multiplier: float = DEFAULTS["median"],
     amount: str = AMOUNT,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """Rows above ``multiplier`` times the median."""
-    threshold = median(df, amount, accuracy).limit(multiplier)
+    threshold = median(df, amount).limit(multiplier)
     return df.filter(F.col(amount) > threshold).withColumns(
         {"threshold": threshold, "is_anomaly": F.lit(True)}
     )
@@ -114,7 +115,6 @@ def detect(
     threshold: float | None = None,
     multiplier: float | None = None,
     amount: str = AMOUNT,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """Anomalies by the named method, with that method's own default threshold."""
     if method == "zscore":
@@ -123,7 +123,7 @@ def detect(
         raise ValueError(f"method must be one of {tuple(DEFAULTS)}, got {method!r}")
     factor = DEFAULTS[method] if multiplier is None else multiplier
     detector = by_iqr if method == "iqr" else by_median
-    return detector(df, factor, amount, accuracy)
+    return detector(df, factor, amount)
 
 
 def counts(
@@ -132,11 +132,10 @@ def counts(
     iqr_multiplier: float = DEFAULTS["iqr"],
     median_multiplier: float = DEFAULTS["median"],
     amount: str = AMOUNT,
-    accuracy: int | None = None,
 ) -> DataFrame:
     """Anomalies found by each method, from one pass over the rows."""
     value = F.col(amount)
-    found = quartiles(df, amount, accuracy)
+    found = quartiles(df, amount)
     lower, upper = found.bounds(iqr_multiplier)
     limit = found.limit(median_multiplier)
     counted = df.agg(
@@ -169,7 +168,7 @@ def export_columns(anomalies: DataFrame) -> DataFrame:
 
 def _zscore(df: DataFrame, amount: str) -> Column:
     stats = moments(df, amount)
-    centred = F.col(amount) - stats.select("mean").scalar()
+    centred = F.when(is_finite(amount), F.col(amount)) - stats.select("mean").scalar()
     return F.try_divide(centred, stats.select("stddev").scalar())
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.functions.lenient import complete
+
 
 def customer_metrics(
     df: DataFrame,
@@ -33,5 +35,5 @@ def customer_metrics(
 
 
 def complete_metrics(metrics: DataFrame) -> DataFrame:
-    """Customers without any NULL."""
-    return metrics.na.drop("any")
+    """Customers without any NULL, NaN or infinite metric."""
+    return metrics.filter(complete(metrics, metrics.columns))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.functions.lenient import complete
 from tillscope.operators.quantiles import quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -17,12 +18,10 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def null_loss(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows, rows without NULLs, and rows lost by dropping the others, from one pass."""
-    complete = F.lit(True)
-    for c in columns or df.columns:
-        complete = complete & F.col(c).isNotNull()
+    """Rows, complete rows (no NULL, NaN or infinite value), and rows lost by dropping the others, from one pass."""
     return df.agg(
-        F.count(F.lit(1)).alias("all_rows"), F.count_if(complete).alias("complete_rows")
+        F.count(F.lit(1)).alias("all_rows"),
+        F.count_if(complete(df, columns or df.columns)).alias("complete_rows"),
     ).withColumn("dropped_rows", F.col("all_rows") - F.col("complete_rows"))
 
 
@@ -31,17 +30,17 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     return _moments(df, columns, ["count", "mean", "stddev", "min", "max"])
 
 
-def summary_numeric(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+def summary_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """``describe_numeric`` with quartiles. Finding the quartiles runs jobs."""
-    return _with_quantiles(describe_numeric(df, columns), df, columns, QUARTILES, accuracy).select(
+    return _with_quantiles(describe_numeric(df, columns), df, columns, QUARTILES).select(
         "metric", "count", "mean", "stddev", "min", *QUARTILES, "max"
     )
 
 
-def tail_percentiles(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+def tail_percentiles(df: DataFrame, columns: list[str]) -> DataFrame:
     """Minimum, maximum and percentiles towards both ends. Finding the percentiles runs jobs."""
     extremes = _moments(df, columns, ["min", "max"])
-    return _with_quantiles(extremes, df, columns, TAILS, accuracy).select(
+    return _with_quantiles(extremes, df, columns, TAILS).select(
         "metric", "min", *TAILS, "max"
     )
 
@@ -68,9 +67,8 @@ def _with_quantiles(
     df: DataFrame,
     columns: list[str],
     named: dict[str, float],
-    accuracy: int | None,
 ) -> DataFrame:
-    found = quantiles(df, columns, list(named.values()), accuracy)
+    found = quantiles(df, columns, list(named.values()))
 
     def pick(p: float) -> Column:
         return F.coalesce(

@@ -3,9 +3,8 @@
 The value at probability p is the smallest one whose cumulative count reaches p times the count of
 non-NULL values, as with ``percentile_disc``.
 
-Up to ``SMALL`` values per column one aggregate keeps them all. Beyond that, intervals are narrowed: each
-pass counts values per bucket, combined before the shuffle, and brings one row per column and probability
-to the driver:
+Intervals are narrowed: each pass counts values per bucket, combined before the shuffle, and brings one row per column
+and probability to the driver. Inputs of every size take this way.
 
 1. logarithmic buckets over the whole range of doubles (at most about 4.3 million);
 2. equal-width buckets inside the bucket that holds the wanted rank (at most 4.2 million);
@@ -25,8 +24,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL = 1_000_000
-
 _PER_DOUBLING = 1024
 _OFFSET = 1100 * _PER_DOUBLING  # more than the largest magnitude of a logarithmic bucket number
 _INFINITE = 4 * _OFFSET
@@ -37,76 +34,26 @@ Ranks = dict[str, dict[float, int]]
 Found = dict[str, dict[float, float | None]]
 
 
-def quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    accuracy: int | None = None,
-    small: int = SMALL,
-) -> Found:
+def quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> Found:
     """Value of every column at every probability; None for a column without values.
 
-    Runs jobs, like ``DataFrame.approxQuantile``. The input is read once per pass: give a checkpointed
-    frame if it is costly to compute. With ``accuracy`` the values come from a single
-    ``percentile_approx`` pass instead; one task merges the sketches of all input splits, so that form
-    suits inputs of moderate size.
+    Runs jobs, like ``DataFrame.approxQuantile``. The input is read once per pass, at most three times: give a
+    stored frame if it is costly to compute.
     """
     probabilities = [float(p) for p in probabilities]
-    if accuracy is not None:
-        return _sketched(df, columns, probabilities, accuracy)
-
-    sizes = df.agg(
-        *[F.count(c).alias(f"{c}_all") for c in columns],
-        *[F.count(_ordinary(c)).alias(f"{c}_ordinary") for c in columns],
-    ).first()
-    ranks = {
-        c: {p: max(math.ceil(p * sizes[f"{c}_all"]), 1) for p in probabilities}
-        for c in columns
-        if sizes[f"{c}_all"]
-    }
     found: Found = {c: dict.fromkeys(probabilities) for c in columns}
-    if not ranks:
-        return found
-    if max(sizes[f"{c}_all"] for c in ranks) <= small:
-        return found | _kept_whole(df, ranks, {c: sizes[f"{c}_ordinary"] for c in ranks}, small)
-    return found | _narrowed(df, ranks)
-
-
-def _number(column: str) -> Column:
-    return F.col(column).cast("double")
-
-
-def _ordinary(column: str) -> Column:
-    return F.nanvl(_number(column), F.lit(None))
-
-
-def _sketched(
-    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int
-) -> Found:
-    row = df.agg(
-        *[F.percentile_approx(_number(c), probabilities, accuracy).alias(c) for c in columns]
-    ).first()
-    return {c: dict(zip(probabilities, row[c] or [None] * len(probabilities))) for c in columns}
-
-
-def _kept_whole(df: DataFrame, ranks: Ranks, ordinary: dict[str, int], small: int) -> Found:
-    # Sketches do not order NaN. It sorts last, so it takes the ranks past the ordinary values.
-    found: Found = {c: dict.fromkeys(wanted, math.nan) for c, wanted in ranks.items()}
-    inside = {
-        c: {p: r for p, r in wanted.items() if r <= ordinary[c]} for c, wanted in ranks.items()
-    }
-    # An accuracy of more than twice the count keeps every value; half a rank less avoids rounding up.
-    sketches = [
-        F.percentile_approx(
-            _ordinary(c), [(r - 0.5) / ordinary[c] for r in wanted.values()], 2 * small + 2
-        ).alias(c)
-        for c, wanted in inside.items()
-        if wanted
-    ]
-    if sketches:
-        row = df.agg(*sketches).first().asDict()
-        for c, values in row.items():
-            found[c].update(zip(inside[c], values))
+    values = _long_form(df, columns)
+    # First the probabilities are searched; what is left to find inside a bucket is a rank.
+    searched = {_Interval(c): [(p, p, None) for p in probabilities] for c in columns}
+    while searched:
+        located = _locate(values, searched)
+        searched = {}
+        for row in located:
+            if row.low < row.high:
+                interval = _Interval(row.metric, row.low, row.high)
+                searched.setdefault(interval, []).append((row.probability, None, row.rank))
+            else:
+                found[row.metric][row.probability] = row.low
     return found
 
 
@@ -140,22 +87,6 @@ class _Interval:
         )
 
 
-def _narrowed(df: DataFrame, ranks: Ranks) -> Found:
-    found: Found = {c: {} for c in ranks}
-    values = _long_form(df, list(ranks))
-    searched = {_Interval(c): list(wanted.items()) for c, wanted in ranks.items()}
-    while searched:
-        located = _locate(values, searched)
-        searched = {}
-        for row in located:
-            if row.low < row.high:
-                interval = _Interval(row.metric, row.low, row.high)
-                searched.setdefault(interval, []).append((row.probability, row.rank))
-            else:
-                found[row.metric][row.probability] = row.low
-    return found
-
-
 def _long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     if len(columns) == 1:
         # Not unpivoted, so that range filters reach the scan.
@@ -168,7 +99,7 @@ def _long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull())
 
 
-def _locate(values: DataFrame, searched: dict[_Interval, list[tuple[float, int]]]) -> list:
+def _locate(values: DataFrame, searched: dict[_Interval, list[tuple[float, float | None, int | None]]]) -> list:
     """For each wanted rank the bucket that holds it, and the rank left to find inside it."""
     # The intervals of a column are disjoint, so a row belongs to one of them at most.
     intervals = list(enumerate(searched))
@@ -191,20 +122,24 @@ def _locate(values: DataFrame, searched: dict[_Interval, list[tuple[float, int]]
         .orderBy("bucket")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    whole = Window.partitionBy("metric", "interval")
     before = F.col("upto") - F.col("n")
+    # Of a probability, the rank among all values of the column; NaN counts as the largest.
+    rank = lambda w: F.coalesce(w["rank"], F.greatest(F.ceil(w["share"] * F.col("all")), F.lit(1)))
     wanted = F.coalesce(
         *[F.when(F.col("interval") == i, _wanted(searched[x])) for i, x in intervals]
     )
     return (
         counts.withColumn("upto", F.sum("n").over(running))
+        .withColumn("all", F.sum("n").over(whole))
         .withColumn(
             "hit",
-            F.explode(F.filter(wanted, lambda w: (w.rank > before) & (w.rank <= F.col("upto")))),
+            F.explode(F.filter(wanted, lambda w: (rank(w) > before) & (rank(w) <= F.col("upto")))),
         )
         .select(
             "metric",
             F.col("hit.probability").alias("probability"),
-            (F.col("hit.rank") - before).alias("rank"),
+            (rank(F.col("hit")) - before).alias("rank"),
             "low",
             "high",
         )
@@ -212,10 +147,14 @@ def _locate(values: DataFrame, searched: dict[_Interval, list[tuple[float, int]]
     )
 
 
-def _wanted(ranks: list[tuple[float, int]]) -> Column:
+def _wanted(searched: list[tuple[float, float | None, int | None]]) -> Column:
     return F.array(
         *[
-            F.struct(F.lit(p).alias("probability"), F.lit(rank).cast("long").alias("rank"))
-            for p, rank in ranks
+            F.struct(
+                F.lit(p).alias("probability"),
+                F.lit(share).cast("double").alias("share"),
+                F.lit(rank).cast("long").alias("rank"),
+            )
+            for p, share, rank in searched
         ]
     )

@@ -40,14 +40,12 @@ def analyze_weekly_spending(
     year_basis: str = "calendar",
     ordered: bool = False,
     fmt: str = "parquet",
-    single_file: bool = False,
 ) -> SpendingReport:
     """Weekly spending per customer, with the number of active weeks and its distribution."""
     weekly = store(
         spending.weekly(transactions, year_basis),
         output,
         fmt,
-        single_file=single_file,
         order_by=["customer_id", "year", "week"] if ordered else None,
     )
     active = spending.active_weeks(weekly)
@@ -61,13 +59,12 @@ def analyze_segments(
     cluster_counts: tuple[int, ...] = segments.CLUSTER_COUNTS,
     seed: int = segments.SEED,
     fmt: str = "parquet",
-    single_file: bool = False,
 ) -> SegmentReport:
     """Customer segments, or the metrics alone (with their tails) where these cannot be clustered."""
     found = segments.segment(
         customers.customer_metrics(transactions), cluster_counts=cluster_counts, seed=seed
     )
-    stored = store(found.customers, output, fmt, single_file=single_file)
+    stored = store(found.customers, output, fmt)
     clustered = found.status != segments.METRICS_ONLY
     return SegmentReport(
         found.status,
@@ -82,7 +79,7 @@ def analyze_segments(
 
 
 def analyze_declining_customers(
-    transactions: DataFrame, output: str, *, fmt: str = "parquet", single_file: bool = False
+    transactions: DataFrame, output: str, *, fmt: str = "parquet"
 ) -> DataFrame:
     """Customers whose orders fell in each of their last two active months."""
-    return store(trends.saved(trends.declining(transactions)), output, fmt, single_file=single_file)
+    return store(trends.saved(trends.declining(transactions)), output, fmt)

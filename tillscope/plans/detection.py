@@ -27,18 +27,16 @@ def detect_anomalies(
     *,
     threshold: float | None = None,
     multiplier: float | None = None,
-    accuracy: int | None = None,
     fmt: str = "parquet",
-    single_file: bool = False,
 ) -> AnomalyReport:
     """Write the suspects of one method; count and extremes come from the written rows.
 
     An explicit multiplier is always respected; without one each method has its own default.
     """
     found = anomalies.detect(
-        transactions, method, threshold=threshold, multiplier=multiplier, accuracy=accuracy
+        transactions, method, threshold=threshold, multiplier=multiplier
     )
-    suspects = store(anomalies.export_columns(found), output, fmt, single_file=single_file)
+    suspects = store(anomalies.export_columns(found), output, fmt)
     lowest = None
     if method == "zscore":
         highest = anomalies.top(suspects, 10, "zscore", extra=["zscore"])

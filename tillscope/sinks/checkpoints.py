@@ -1,28 +1,18 @@
-"""Reliable checkpoints for frames that several jobs read."""
+"""Frames that several jobs read."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder and read it from there.
+    """Keep the frame for later jobs.
 
-    Later jobs then do not repeat its computation, also after the loss of an executor.
+    With a checkpoint folder (``spark.checkpoint.dir``) it is written there, and later jobs do not repeat its computation,
+    also after the loss of an executor. Without one Spark's block storage holds it, and lost blocks are computed again.
     """
-    _ensure_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _ensure_folder(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-    context.setCheckpointDir(folder)
+    context = df.sparkSession.sparkContext
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and folder is not None:
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True) if context.getCheckpointDir() is not None else df.persist()

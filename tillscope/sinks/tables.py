@@ -18,20 +18,15 @@ def write_table(
     path: str,
     fmt: str = "parquet",
     *,
-    single_file: bool = False,
     order_by: list[str] | None = None,
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
     """Write a result; CSV gets a header and keeps the spaces around values.
 
-    ``single_file`` brings a small result into one file. Its rows are shuffled there, so that computing
-    them keeps all tasks busy.
+    Ordered results are files of consecutive ranges.
     """
-    if single_file:
-        df = df.repartition(1)
-        df = df.sortWithinPartitions(*order_by) if order_by else df
-    elif order_by:
+    if order_by:
         df = df.orderBy(*order_by)
     writer = df.write.mode(mode)
     if fmt == "csv":
@@ -48,11 +43,10 @@ def store(
     path: str,
     fmt: str = "parquet",
     *,
-    single_file: bool = False,
     order_by: list[str] | None = None,
 ) -> DataFrame:
     """Write a result and return it as read from there, so that using it does not recompute it."""
-    write_table(df, path, fmt, single_file=single_file, order_by=order_by)
+    write_table(df, path, fmt, order_by=order_by)
     reader = df.sparkSession.read.schema(df.schema)
     if fmt == "csv":
         reader = reader.option("header", True)
