@@ -18,24 +18,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
-from .tokens import Codec, safe_points, texts_of
+from .tokens import Codec, Vocabulary, give_back, safe_points, texts_of
 
 _WINDOW = 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MEAN_BITS = 10
 _HELD_PER_TASK = 5000
+#: Keys of documents that encode shared chunks are broadcast up to this number (16 bytes each).
+BROADCAST_OWNERS = 1_000_000
+_SLICE_BYTES = 1 << 20
 
 
-def encode(docs: DataFrame, spec: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, spec: str, id: str = "doc_id", text: str = "text", decoded: bool = False
+) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit, as bytes) of every document.
 
+    With ``decoded`` also the text that the ids give, decoded where they are made.
     ``spec`` is the JSON of a byte-level tokenizer. Texts cross the network once, compressed; ids of shared chunks once
     for each document that holds them.
     """
+    vocabulary = Vocabulary(spec)
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     chunks = saved(docs.mapInArrow(_chunk_digests, "key binary, seq int, digest binary"))
     # A chunk held by many documents is dealt over so many tasks.
@@ -54,16 +62,19 @@ def encode(docs: DataFrame, spec: str, id: str = "doc_id", text: str = "text") -
         F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt"),
         (F.struct("key", "seq") == F.col("owner")).alias("owned"),
     )
-    owned = (
+    owned = saved(
         held.filter("owned")
         .groupBy("key")
         .agg(F.collect_set(F.struct("seq", "digest", "salts")).alias("owned"))
     )
-    packed = docs.mapInArrow(_packed, "doc_id long, key binary, packed binary").repartition("key")
+    packed = docs.mapInArrow(_packed, "doc_id long, key binary, packed binary")
+    owners = packed
+    if owned.count() <= BROADCAST_OWNERS:  # else all texts are shuffled once more
+        owners = packed.join(F.broadcast(owned.select("key")), "key", "left_semi")
     encoded = (
-        packed.join(owned, "key")
+        owners.join(owned, "key")
         .select("packed", "owned")
-        .mapInArrow(lambda b: _encode_owned(b, spec), "digest binary, ids binary, salts int")
+        .mapInArrow(lambda b: _encode_owned(b, vocabulary), "digest binary, ids binary, salts int")
         .dropDuplicates(["digest"])
         .select("digest", "ids", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     )
@@ -76,20 +87,22 @@ def encode(docs: DataFrame, spec: str, id: str = "doc_id", text: str = "text") -
     return (
         packed.join(given, "key", "left")
         .select("doc_id", "packed", "given")
-        .mapInArrow(lambda b: _assembled(b, spec), "doc_id long, ids binary")
+        .mapInArrow(
+            lambda b: _assembled(b, vocabulary, decoded),
+            "doc_id long, ids binary" + ", decoded string" * decoded,
+        )
     )
 
 
 def decode(encoded: DataFrame, spec: str) -> DataFrame:
     """doc_id, ids and decoded, the text of the ids."""
 
+    vocabulary = Vocabulary(spec)
+
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
         for batch in batches:
-            codec = codec or Codec(spec)
-            for k in range(0, batch.num_rows, 500):
-                some = batch.slice(k, 500)
-                decoded = [codec.decode(np.frombuffer(x.as_buffer(), "<u4")) for x in some.column(1)]
+            for some in _slices(batch, 1):
+                decoded = [vocabulary.decode(np.frombuffer(x.as_buffer(), "<u4")) for x in some.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
                 )
@@ -116,7 +129,7 @@ def chunk_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _documents(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[int | None, bytes, np.ndarray, np.ndarray]]:
     """Id, digest, bytes and chunk starts (from 0, with the end) of each document."""
-    for data, offsets, first in texts_of(texts):
+    for data, offsets, first in texts_of(texts, _SLICE_BYTES):
         cuts = np.union1d(chunk_cuts(data, offsets), offsets)
         places = np.searchsorted(cuts, offsets)
         for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
@@ -141,6 +154,7 @@ def _chunk_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             [pa.array(keys, pa.binary()), pa.array(seqs, pa.int32()), pa.array(digests, pa.binary())],
             names=["key", "seq", "digest"],
         )
+    give_back()
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,15 +171,27 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(texts, pa.binary())],
             names=["doc_id", "key", "packed"],
         )
+    give_back()
 
 
 def _documents_uncut(ids: pa.Array, texts: pa.Array) -> Iterator[tuple]:
-    for data, offsets, first in texts_of(texts):
+    for data, offsets, first in texts_of(texts, _SLICE_BYTES):
         for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
             of = ids[first + k].as_py()
             yield of, _key(of, data[a:b]), data[a:b], None
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about a megabyte of the given binary column."""
+    upto = np.cumsum(pc.binary_length(batch.column(column)).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = upto[first - 1] if first else 0
+        last = max(int(np.searchsorted(upto, before + _SLICE_BYTES, "right")), first + 1)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts, their offsets, and all chunk starts with the end."""
     import zstandard
@@ -177,14 +203,14 @@ def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, np.union1d(chunk_cuts(data, offsets), offsets)
 
 
-def _encode_owned(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+def _encode_owned(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     codec, pack = None, zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        codec = codec or Codec(spec)
-        for k in range(0, batch.num_rows, 1000):
-            rows = batch.slice(k, 1000).to_pylist()
+        codec = codec or Codec(vocabulary)
+        for some in _slices(batch, 0):
+            rows = some.to_pylist()
             data, offsets, cuts = _unpacked([r["packed"] for r in rows])
             places = np.searchsorted(cuts, offsets)
             digests, spans, salts = [], [], []
@@ -203,6 +229,8 @@ def _encode_owned(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.R
                 ],
                 names=["digest", "ids", "salts"],
             )
+    del codec
+    give_back()
 
 
 def _encode_spans(codec: Codec, spans: list[np.ndarray]) -> list[np.ndarray]:
@@ -213,14 +241,16 @@ def _encode_spans(codec: Codec, spans: list[np.ndarray]) -> list[np.ndarray]:
     return np.split(ids, np.cumsum(counts)[:-1])
 
 
-def _assembled(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
+def _assembled(
+    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, decoded: bool
+) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     codec, unpack = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        codec = codec or Codec(spec)
-        for first in range(0, batch.num_rows, 1000):
-            rows = batch.slice(first, 1000).to_pylist()
+        codec = codec or Codec(vocabulary)
+        for some in _slices(batch, 1):
+            rows = some.to_pylist()
             data, offsets, cuts = _unpacked([r["packed"] for r in rows])
             places = np.searchsorted(cuts, offsets)
             chunks: list[np.ndarray | None] = [None] * (len(cuts) - 1)
@@ -230,13 +260,17 @@ def _assembled(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.Reco
             own = [c for c, ids in enumerate(chunks) if ids is None]
             for c, ids in zip(own, _encode_spans(codec, [data[cuts[c] : cuts[c + 1]] for c in own])):
                 chunks[c] = ids
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r["doc_id"] for r in rows], pa.int64()),
-                    pa.array(_joined(codec, data, offsets, cuts, places, chunks), pa.binary()),
-                ],
-                names=["doc_id", "ids"],
-            )
+            found = _joined(codec, data, offsets, cuts, places, chunks)
+            columns = {
+                "doc_id": pa.array([r["doc_id"] for r in rows], pa.int64()),
+                "ids": pa.array(found, pa.binary()),
+            }
+            if decoded:
+                texts = [vocabulary.decode(np.frombuffer(x, "<u4")) for x in found]
+                columns["decoded"] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
+    del codec
+    give_back()
 
 
 def _joined(codec, data, offsets, cuts, places, chunks) -> list[bytes]:

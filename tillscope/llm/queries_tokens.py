@@ -17,8 +17,7 @@ def _spec() -> str:
 
 
 def encoding_digests(docs: DataFrame) -> DataFrame:
-    spec = _spec()
-    return bpe.decode(bpe.encode(docs, spec), spec).select(
+    return bpe.encode(docs, _spec(), decoded=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -25,7 +25,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tokens import Codec, texts_of
+from .tokens import Codec, Vocabulary, give_back, texts_of
 
 _WRITTEN = "part int, ids string, docs string, n_docs long, n_null long, n_tokens long, lengths string"
 _PART = "part int, ids string, docs string, lengths string, n_docs long, n_null long, base long, n_tokens long"
@@ -38,7 +38,8 @@ def write(docs: DataFrame, folder: str, spec: str, end_id: int, id: str = "doc_i
     ``spec`` is the JSON of a tokenizer. The driver sees one line per part, never documents.
     """
     spark = docs.sparkSession
-    wide = _width(spec, end_id)
+    vocabulary = Vocabulary(spec)
+    wide = "<u2" if max(len(vocabulary.words), end_id + 1) <= 1 << 16 else "<u4"
 
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -49,7 +50,7 @@ def write(docs: DataFrame, folder: str, spec: str, end_id: int, id: str = "doc_i
         files, n_docs, n_null, n_tokens = {}, 0, 0, 0
         for batch in batches:
             if not codec:
-                codec = Codec(spec)
+                codec = Codec(vocabulary)
                 files = {k: store.open_output_stream(f"{root}/{v}") for k, v in names.items()}
             for data, offsets, first in texts_of(batch.column(1)):
                 ids, counts = codec.encode(data, offsets)
@@ -64,6 +65,8 @@ def write(docs: DataFrame, folder: str, spec: str, end_id: int, id: str = "doc_i
         if files:
             row = [part, names["ids"], names["docs"], n_docs, n_null, n_tokens, names["lengths"]]
             yield _rows(_WRITTEN, [row])
+        del codec
+        give_back()
 
     store, root = pyarrow.fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
@@ -146,12 +149,6 @@ def _spread(spark: SparkSession, parts: list[list]) -> DataFrame:
     return spark.createDataFrame(parts, _PART).repartition(max(len(parts), 1))
 
 
-def _width(spec: str, end_id: int) -> str:
-    from tokenizers import Tokenizer
-
-    return "<u2" if max(Tokenizer.from_str(spec).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-
-
 def _mapped(store: pyarrow.fs.FileSystem, path: str, kind: str) -> np.ndarray:
     """A memory map of a file; in a remote store, its contents."""
     if isinstance(store, pyarrow.fs.LocalFileSystem):

@@ -7,13 +7,14 @@ look-ahead concerns white space only. Cutting texts there and encoding the piece
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def is_space(data: np.ndarray) -> np.ndarray:
@@ -30,8 +31,13 @@ def safe_points(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(is_space(data[1:]) & visible[:-1]) + 1
 
 
-def texts_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Slices of a string column as (bytes, offsets of the texts, index of the first); NULL is empty."""
+def texts_of(
+    column: pa.Array, slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Slices of a string column as (bytes, offsets of the texts, index of the first); NULL is empty.
+
+    A slice holds whole texts, and more than ``slice_bytes`` only where one text does.
+    """
     column = column.fill_null("") if column.null_count else column
     column = column.cast(pa.large_string())
     if not len(column):
@@ -43,12 +49,21 @@ def texts_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + slice_bytes, "right")) - 1
         last = min(max(last, first + 1), len(column))
         yield data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first
         first = last
 
 
+def give_back() -> None:
+    """Returns unused memory of a Python worker, which outlives its task, to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of ranges laid one behind the other."""
     ends = np.cumsum(lengths)
@@ -56,26 +71,39 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class Vocabulary:
+    """The bytes of each id."""
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(spec)
+        letters = _byte_letters()
+        self.spec = spec
+        self.words = [
+            b"".join(letters.get(c) or c.encode() for c in tokenizer.id_to_token(i) or "")
+            for i in range(tokenizer.get_vocab_size())
+        ]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.words.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 class Codec:
-    """Encodes batches of UTF-8 texts and decodes ids, for a byte-level tokenizer."""
+    """Encodes batches of UTF-8 texts, for a byte-level tokenizer."""
 
     #: Pieces remembered between batches; beyond that the memory starts anew, which changes no result.
-    REMEMBERED = 600_000
+    REMEMBERED = 200_000
 
-    def __init__(self, spec: str):
+    def __init__(self, vocabulary: Vocabulary):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer = Tokenizer.from_str(vocabulary.spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        size = self.tokenizer.get_vocab_size()
-        letters = _byte_letters()
-        self.words = [
-            b"".join(letters.get(c) or c.encode() for c in self.tokenizer.id_to_token(i) or "")
-            for i in range(size)
-        ]
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.sizes = vocabulary.sizes
         self._forget()
 
     def _forget(self) -> None:
@@ -130,9 +158,6 @@ class Codec:
             self.known[w] = len(self.known)
         self.flat, self.lengths = np.concatenate(ids), np.concatenate(lengths)
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.words.__getitem__, ids.tolist())).decode("utf-8", "replace")
-
 
 def _joinable(word: bytes) -> bool:
     """Whether the piece starts with white space and ends with a visible character."""
