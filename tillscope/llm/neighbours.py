@@ -81,8 +81,9 @@ def balanced_parts(edges: np.ndarray, levels: int, rng: np.random.Generator) ->
     """Parts of equal size (up to one) of a graph, that few edges cut."""
     part = np.zeros(len(edges), int)
     for _ in range(levels):
-        for p in range(part.max() + 1):
-            of = np.flatnonzero(part == p)
+        whole = part.copy()
+        for p in range(whole.max() + 1):
+            of = np.flatnonzero(whole == p)
             part[of] = 2 * p + _halved(edges[np.ix_(of, of)], rng)
     return part
 
