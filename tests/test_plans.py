@@ -9,7 +9,7 @@ from tests.rows import CUSTOMER, GOOD, raw, sales
 from tests.test_trends import months
 from tillscope import plans, sinks, sources
 from tillscope.operators import quality, segments
-from tillscope.schema import COLUMNS, RAW, TYPED
+from tillscope.schema import COLUMNS, RAW_WITH_MALFORMED, TYPED
 
 CHANGES = [
     {},
@@ -35,7 +35,7 @@ def raw_file(tmp_path):
 
 def test_raw_text_is_untouched(spark, raw_file):
     df = sources.read_raw(spark, raw_file)
-    assert df.schema == RAW
+    assert df.schema == RAW_WITH_MALFORMED
     rows = {r.transaction_id: r for r in df.collect()}
     assert rows["TXN_0"].transaction_time == "12:34:56"
     assert rows["TXN_4"].customer_id == " " + CUSTOMER
@@ -72,12 +72,26 @@ def test_preprocess(spark, raw_file, tmp_path, fmt, policy, rejected):
     assert (first.transaction_date, first.total_amount) == (date(2023, 5, 6), 42.0)
 
     bad = sinks.read_rejected(spark, output, fmt)
-    assert [(f.name, f.dataType) for f in bad.schema] == [(f.name, f.dataType) for f in RAW]
+    assert [(f.name, f.dataType) for f in bad.schema] == [(f.name, f.dataType) for f in RAW_WITH_MALFORMED]
     assert {tuple(r) for r in bad.collect()} == {
         tuple(r) for r in quality.rejected_rows(flagged).collect()
     }
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_ragged_lines_are_rejected_whole(spark, raw_file, tmp_path, fmt):
+    good = ",".join((GOOD | {"transaction_id": "TXN_9"}).values())
+    nine, eleven = good.rpartition(",")[0], good + ",extra"
+    with open(raw_file, "a") as out:
+        out.write("".join(line + "\n" for line in (nine, eleven, good)))
+    output = str(tmp_path / "split")
+    row = plans.preprocess(spark, raw_file, output, expected_customer=CUSTOMER, fmt=fmt).first()
+    assert (row.clean_rows, row.error_rows) == (4, 6)
+    bad = sinks.read_rejected(spark, output, fmt).filter("malformed_record IS NOT NULL").collect()
+    assert sorted(r.malformed_record for r in bad) == sorted([nine, eleven])
+    assert sinks.read_clean(spark, output, fmt).count() == 4
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_split_without_rejected_rows(spark, tmp_path, fmt):
     output = str(tmp_path / "split")

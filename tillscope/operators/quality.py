@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions import lenient_date, lenient_double, lenient_int
-from tillscope.schema import COLUMNS
+from tillscope.schema import COLUMNS, MALFORMED
 
 FLAG = "has_error"
 NULL_FLAG_POLICIES = ("error", "drop")
@@ -72,8 +72,11 @@ def flag(raw: DataFrame, condition: Column, on_null_flag: str = "error") -> Data
 
     The condition is three-valued: a NULL customer id makes it NULL when nothing else is wrong.
     ``error`` counts such a row as an error, so that clean and rejected rows add up to the input;
-    ``drop`` keeps the NULL, and the row then belongs to neither side.
+    ``drop`` keeps the NULL, and the row then belongs to neither side. Malformed records, as ``read_raw`` marks them, are
+    always errors.
     """
+    if MALFORMED in raw.columns:
+        condition = F.when(F.col(MALFORMED).isNotNull(), True).otherwise(condition)
     if on_null_flag not in NULL_FLAG_POLICIES:
         raise ValueError(f"on_null_flag must be one of {NULL_FLAG_POLICIES}, got {on_null_flag!r}")
     if on_null_flag == "error":

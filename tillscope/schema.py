@@ -27,6 +27,9 @@ CONVERTED = {
 }
 
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS])
+# Holds the whole line of a raw record that does not have the ten fields; NULL for all others.
+MALFORMED = "malformed_record"
+RAW_WITH_MALFORMED = T.StructType([*RAW, T.StructField(MALFORMED, T.StringType())])
 TYPED = T.StructType([T.StructField(c, CONVERTED.get(c, T.StringType())) for c in COLUMNS])
 
 # Features used to describe a customer's purchasing behaviour.

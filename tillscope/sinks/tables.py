@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillscope.operators.quality import FLAG, conversions, repair_totals
-from tillscope.schema import COLUMNS, CONVERTED, RAW, TYPED
+from tillscope.schema import COLUMNS, CONVERTED, MALFORMED, RAW, TYPED
 
 OUTCOME = "outcome"
 CLEAN, REJECTED = "clean", "rejected"
@@ -61,15 +61,16 @@ def write_validated(flagged: DataFrame, path: str, fmt: str = "parquet") -> None
     is empty throughout a partition; CSV holds the text of either.
     """
     clean = ~F.col(FLAG)
+    malformed = F.col(MALFORMED) if MALFORMED in flagged.columns else F.lit(None).cast("string").alias(MALFORMED)
     kept = flagged.filter(F.col(FLAG).isNotNull()).select(
-        FLAG, *COLUMNS, *[F.col(c).alias(f"raw_{c}") for c in CONVERTED]
+        FLAG, *COLUMNS, malformed, *[F.col(c).alias(f"raw_{c}") for c in CONVERTED]
     )
     typed = repair_totals(kept.withColumns(conversions()))
     if fmt == "csv":
         columns = {
             c: F.when(clean, F.col(c).cast("string")).otherwise(F.col(f"raw_{c}")) for c in CONVERTED
         }
-        rows = typed.withColumns(columns).select(*COLUMNS, _outcome(clean))
+        rows = typed.withColumns(columns).select(*COLUMNS, MALFORMED, _outcome(clean))
     else:
         columns = {c: F.when(clean, F.col(c)) for c in CONVERTED}
         columns |= {f"raw_{c}": F.when(~clean, F.col(f"raw_{c}")) for c in CONVERTED}
@@ -83,12 +84,12 @@ def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def read_rejected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw text of the rejected rows of a split; only their partition is scanned."""
+    """Raw text of the rejected rows of a split, and the whole line of malformed ones; only their partition is scanned."""
     rows = _read(spark, path, fmt, RAW, REJECTED)
     if fmt == "csv":
-        return rows.select(*COLUMNS)
+        return rows.select(*COLUMNS, MALFORMED)
     return rows.select(
-        *[F.col(f"raw_{c}").alias(c) if c in CONVERTED else F.col(c) for c in COLUMNS]
+        *[F.col(f"raw_{c}").alias(c) if c in CONVERTED else F.col(c) for c in COLUMNS], MALFORMED
     )
 
 
@@ -101,10 +102,11 @@ def _read(
 ) -> DataFrame:
     # The schema is stated because a split may be empty.
     partition = T.StructField(OUTCOME, T.StringType())
+    malformed = T.StructField(MALFORMED, T.StringType())
     if fmt == "csv":
-        schema = T.StructType([*csv_schema, partition])
+        schema = T.StructType([*csv_schema, malformed, partition])
         reader = spark.read.schema(schema).option("header", True)
     else:
         raw = [T.StructField(f"raw_{c}", T.StringType()) for c in CONVERTED]
-        reader = spark.read.schema(T.StructType([*TYPED, *raw, partition]))
+        reader = spark.read.schema(T.StructType([*TYPED, *raw, malformed, partition]))
     return reader.format(fmt).load(path).filter(F.col(OUTCOME) == outcome)
