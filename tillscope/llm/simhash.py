@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, keyed_rows, saved, without
 from .components import components
-from .tokens import texts_of
+from .tokens import give_back, texts_of
 
 MOST_BITS = 3
 _HALF = 0xFFFFFFFF
@@ -50,6 +50,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
                 [batch.column(0), batch.column(1), pa.array(np.array(found, np.uint64).view(np.int64))],
                 names=["id", "text_hash", "fingerprint"],
             )
+        give_back()
 
     return docs.select(
         F.col(id).cast("long").alias("id"),

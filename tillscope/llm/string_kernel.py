@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sample_per_class
-from .tokens import texts_of
+from .tokens import give_back, texts_of
 
 DIMS = 1 << 14
 UNKNOWN = "und"
@@ -106,6 +106,7 @@ def predict(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text
                 [batch.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(score, pa.float64())],
                 names=["id", "lang_pred", "score"],
             )
+        give_back()
 
     chosen = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     return chosen.mapInArrow(predicted, schema)

@@ -17,15 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import sample_per_class
-from .tokens import is_space, ragged, texts_of
+from .tokens import give_back, is_space, ragged, texts_of
 
 BUCKETS = 1 << 17
 NGRAMS = (3, 4)
+_SLICE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -85,22 +87,25 @@ def train(
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row as the struct ``row``, with ``probabilities`` (array of double, in the order of ``model.classes``)."""
     spread = docs.sparkSession.sparkContext.broadcast((model.table(), model.bias))
+    place = docs.columns.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = spread.value
         for batch in batches:
+            texts = pc.struct_field(batch.column(0), place).cast(pa.string())
             logits = np.concatenate(
-                [_means(table, data, offsets) for data, offsets, _ in texts_of(batch.column(1))]
+                [_means(table, data, offsets) for data, offsets, _ in texts_of(texts, _SLICE)]
                 or [np.zeros((0, len(bias)), np.float32)]
             )
             p = softmax((logits + bias).astype(np.float64))
             bounds = np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["row", "probabilities"])
+        give_back()
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     schema = StructType([StructField("row", docs.schema), StructField("probabilities", ArrayType(DoubleType()))])
-    return docs.select(row, F.col(text).cast("string").alias("text")).mapInArrow(scored, schema)
+    return docs.select(row).mapInArrow(scored, schema)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
