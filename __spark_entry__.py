@@ -42,6 +42,8 @@ except ModuleNotFoundError as e:
     llm = None
 
 SMALL_REACH = 0.2  # IQR multiplier that gives the event amounts a low side
+METRIC_TYPES = {"total_orders": "bigint", "total_spending": "double", "unique_products": "bigint"}
+APART = {"total_orders": 100_000, "total_spending": 1e9, "unique_products": 100_000}
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
@@ -116,6 +118,13 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ["avg_orders", "avg_spending", "avg_products"],
             4,
         ),
+        "separated_clusters": lambda s, d: _rounded(
+            segments.segment(_separated(s, d)).customers, "total_spending", 2
+        ),
+        "separated_centers": _separated_centers,
+        "separated_choice": lambda s, d: segments.score_table(segments.segment(_separated(s, d)))
+        .filter("chosen")
+        .select("k"),
         "k_selection": lambda s, d: segments.score_table(segments.segment(_metrics(s, d))),
         "customer_clusters": lambda s, d: segments.segment(_metrics(s, d)).customers,
         "cluster_centers": lambda s, d: segments.center_table(segments.segment(_metrics(s, d))),
@@ -198,6 +207,19 @@ def _metrics(spark: SparkSession, directory: str) -> DataFrame:
     return customers.customer_metrics(sales(spark, directory))
 
 
+def _separated(spark: SparkSession, directory: str) -> DataFrame:
+    """Metrics moved apart by the customer number, so that three groups are the only good clustering."""
+    group = F.substring_index("customer_id", "_", -1).cast("int") % 3
+    return _metrics(spark, directory).withColumns(
+        {c: F.col(c) + group.cast(t) * APART[c] for c, t in METRIC_TYPES.items()}
+    )
+
+
+def _separated_centers(spark: SparkSession, directory: str) -> DataFrame:
+    centers = segments.center_table(segments.segment(_separated(spark, directory)))
+    return centers.select("prediction", *[F.round(f"center_{c}", 2).alias(f"center_{c}") for c in METRICS])
+
+
 def _damaged_metrics(spark: SparkSession, directory: str) -> DataFrame:
     """Metrics of rows that were typed but not validated, so that they contain NULLs."""
     return customers.customer_metrics(
@@ -555,6 +577,13 @@ def _own_sql() -> dict[str, str]:
             "quantile_disc(total_amount, 0.5) AS p50, quantile_disc(total_amount, 0.75) AS p75, "
             'max(total_amount) AS "max" FROM ev'
         ),
+        "separated_clusters": _on_metrics(f"SELECT * REPLACE (round(total_spending, 2) AS total_spending) FROM ({_SEPARATED})"),
+        "separated_centers": _on_metrics(
+            "SELECT prediction, round(avg(total_orders), 2) AS center_total_orders, "
+            "round(avg(total_spending), 2) AS center_total_spending, "
+            f"round(avg(unique_products), 2) AS center_unique_products FROM ({_SEPARATED}) GROUP BY prediction"
+        ),
+        "separated_choice": "SELECT CAST(3 AS INTEGER) AS k",
         "scaled_metrics": _on_metrics(
             "SELECT customer_id, "
             + ", ".join(
@@ -630,6 +659,12 @@ def _own_sql() -> dict[str, str]:
     }
 
 
+_SEPARATED = (
+    "SELECT customer_id, total_orders + g * 100000 AS total_orders, total_spending + g * 1e9 AS total_spending, "
+    "unique_products + g * 100000 AS unique_products, g AS prediction "
+    "FROM (SELECT *, CAST(split_part(customer_id, '_', 2) AS INTEGER) % 3 AS g FROM metrics)"
+)
+
 # Sum of squared distances from a point to a cluster, from the cluster's count and sums.
 _SILHOUETTE = """
     WITH points AS (
