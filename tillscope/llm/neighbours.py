@@ -63,10 +63,12 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, parts: int = PARTS, neighbours
     x = np.array(rows["vector"].to_pylist(), np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     levels = max(0, min(int(np.log2(parts)), int(np.log2(max(len(x) / 64, 1)))))
-    alike = x @ x.T
-    np.fill_diagonal(alike, -np.inf)
     k = min(neighbours, len(x) - 1)
-    near = np.argpartition(-alike, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(x), 0), int)
+    near = np.zeros((len(x), k), int)
+    for first in range(0, len(x) if k > 0 else 0, 512):
+        alike = -(x[first : first + 512] @ x.T)
+        alike[np.arange(len(alike)), np.arange(first, first + len(alike))] = np.inf
+        near[first : first + 512] = np.argpartition(alike, k - 1, axis=1)[:, :k]
     edges = np.zeros((len(x), len(x)), np.float32)
     np.put_along_axis(edges, near, 1, axis=1)
     edges = np.maximum(edges, edges.T)
