@@ -229,8 +229,9 @@ def _full_candidates(sets: DataFrame) -> DataFrame:
         & (F.bit_count(a[2].bitwiseXOR(b[2])) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
     )
     left, right = side("a_set"), side("b_set").withColumnRenamed("token", "of")
+    # Behind coalesce no side gets null tests of its own, which would make the two shuffles differ.
     return (
-        left.join(right, (F.col("token") == F.col("of")) & before & near)
+        left.join(right, (F.col("token") == F.col("of")) & F.coalesce(before & near, F.lit(False)))
         .select(part("a_set"), part("b_set"))
         .selectExpr(*_PAIR)
     )
@@ -244,13 +245,13 @@ def _verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
         .union(pairs.selectExpr("b_doc", "b_line", "b_sketch"))
         .distinct()
     )
-    ids = places.select("doc").distinct()
-    if ids.count() <= BROADCAST_DOCUMENTS:
-        ids = F.broadcast(ids)
+    ids, wanted = places.select("doc").distinct(), places.select("doc", "line").distinct()
+    if places.count() <= BROADCAST_DOCUMENTS:
+        ids, wanted = F.broadcast(ids), F.broadcast(wanted)
     found = (
         docs.join(ids, "doc", "left_semi")
         .select("doc", F.posexplode(F.split("folded", "\n")).alias("line", "own"))
-        .join(places.select("doc", "line").distinct(), ["doc", "line"])
+        .join(wanted, ["doc", "line"])
         .select("doc", "line", F.array_distinct(_words(F.col("own"))).alias("words"))
         # The sketch tells lines at the same place of rows that share an id apart.
         .withColumn("sketch", _sketch(F.transform("words", lambda w: F.xxhash64(w))))
