@@ -33,19 +33,29 @@ def paths(nodes: DataFrame, best: int | None = None) -> DataFrame:
     known = nodes.select(F.col("node").alias("parent"))
     step = nodes.join(known, "parent", "left_semi").select("node", F.col("parent").alias("up"))
     # Per node: the farthest ancestor so far, the steps to it, and the scores from the node up to just below it.
-    reach = nodes.join(step, "node", "left").select(
-        "node", F.coalesce("up", "node").alias("top"), F.col("up").isNotNull().cast("int").alias("steps"), F.when(F.col("up").isNotNull(), F.col("score")).otherwise(0.0).alias("gain")
+    reach = saved(
+        nodes.join(step, "node", "left").select(
+            "node",
+            F.coalesce("up", "node").alias("top"),
+            F.col("up").isNotNull().cast("int").alias("steps"),
+            F.when(F.col("up").isNotNull(), F.col("score")).otherwise(0.0).alias("gain"),
+        )
     )
-    levels, reach = [saved(step)], saved(reach)
-    while not levels[-1].isEmpty():
+    # Nodes that reached a root rest; the others take as many steps again as they have taken.
+    done, moving, levels, taken = reach.filter("steps = 0"), reach.filter("steps = 1"), [], 1
+    while not moving.isEmpty():
         if len(levels) > _ROUNDS:
             raise ValueError("the replies form a cycle")
-        last = levels[-1]
-        above = reach.select(F.col("node").alias("top"), F.col("top").alias("higher"), F.col("steps").alias("more"), F.col("gain").alias("extra"))
-        reach = saved(
-            reach.join(above, "top").select("node", F.col("higher").alias("top"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("gain") + F.col("extra")).alias("gain"))
+        levels.append(moving.select("node", F.col("top").alias("up")))
+        above = done.union(moving).select(F.col("node").alias("top"), F.col("top").alias("higher"), F.col("steps").alias("more"), F.col("gain").alias("extra"))
+        moved = saved(
+            moving.join(above, "top").select(
+                "node", F.col("higher").alias("top"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("gain") + F.col("extra")).alias("gain")
+            )
         )
-        levels.append(saved(last.join(last.select(F.col("node").alias("up"), F.col("up").alias("far")), "up").select("node", F.col("far").alias("up"))))
+        taken *= 2
+        done, moving = done.union(moved.filter(F.col("steps") < taken)), moved.filter(F.col("steps") == taken)
+    reach = done
     roots = nodes.select(F.col("node").alias("top"), F.col("score").alias("first"))
     order = Window.partitionBy("root").orderBy(F.desc("path_score"), "leaf")
     leaves = (
@@ -58,7 +68,7 @@ def paths(nodes: DataFrame, best: int | None = None) -> DataFrame:
         leaves = leaves.filter(F.col("rank") <= best)
     leaves = saved(leaves)
     members = leaves.select("leaf", F.col("leaf").alias("node"), F.lit(0).alias("back"))
-    for k in reversed(range(len(levels) - 1)):
+    for k in reversed(range(len(levels))):
         further = members.join(levels[k], "node").select("leaf", F.col("up").alias("node"), (F.col("back") + (1 << k)).alias("back"))
         members = saved(members.union(further))
     return members.join(leaves, "leaf").select("root", "leaf", "rank", "path_score", (F.col("steps") - F.col("back")).alias("position"), "node")
