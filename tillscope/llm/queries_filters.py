@@ -62,6 +62,7 @@ def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.judge(found, model).select(
         F.col("id").alias("doc_id"),
         "place",
+        "at",
         F.length("value").alias("n_chars"),
         F.sha2("value", 256).alias("value_sha256"),
         F.round("probability", 6).alias("probability"),

@@ -1,7 +1,8 @@
 """Scan for secrets: candidate strings, judged by a random forest that removes false positives.
 
-A candidate is a run of at least ``LEAST_CHARS`` letters, digits and ``+/=_.@-`` that holds a digit, between white space or
-quotes; a leading ``name=`` is taken off and counts as a neighbouring word. The forest sees
+A candidate is any run of at least ``LEAST_CHARS`` letters, digits and ``+/=_.@-`` that holds a digit, however many a word
+between white space has; a leading ``name=`` is taken off and counts as a neighbouring word. Neighbours of a run are the runs
+and signs before it in its word, then the words before. The forest sees
 
 * its length, and the shares of digits, capitals and other signs,
 * character transitions: how often the kind of character changes, and how the letters' pairs compare with those of the
@@ -12,7 +13,8 @@ quotes; a leading ``name=`` is taken off and counts as a neighbouring word. The
 
 It is trained from labelled findings, a bounded sample of them. Everything runs on DataFrame functions and MLlib.
 
-Findings are told apart by id, a hash of the text and the place of the word. NULL and empty texts have none. Repeated rows
+Findings are told apart by id, a hash of the text, the place of the word and ``at``, the offset of the run among the word's
+pieces (runs, and what parts them, from 0). NULL and empty texts have none. Repeated rows
 each give theirs. Without labelled findings of both kinds nothing can be learned: the probability is NULL and every
 candidate stays. Other columns are ignored.
 """
@@ -36,13 +38,15 @@ FEATURES = ["length", "digits", "capitals", "signs", "changes", "known_pairs", "
 
 
 def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, text_hash, place, value and the words around it."""
+    """id, text_hash, place, at, value and the words around it."""
     words = F.split(F.regexp_replace(text_or_empty(text), r"\s+", " "), " ")
     plain = F.col("w")[F.col("place")]
     near = lambda k: F.when(F.col("place") >= -k, F.get(F.col("w"), F.col("place") + k)).otherwise(F.lit(""))
-    held = F.regexp_extract("word", rf"([{_SIGNS}]{{{LEAST_CHARS},}})[^{_SIGNS}]*$", 1)
-    value = F.regexp_replace(held, r"^[A-Za-z_]+=", "")
-    name = F.regexp_extract(held, r"^([A-Za-z_]+=)", 1)
+    # Runs and what parts them take turns in a word, so two runs before are at most four pieces before.
+    piece = lambda k: F.when(F.col("at") >= -k, F.get(F.col("pieces"), F.col("at") + k)).otherwise(F.lit(""))
+    inside = F.regexp_replace(F.concat(*[piece(k) for k in (-4, -3, -2, -1)]), r"""["'`({\[<\\]+$""", "")
+    value = F.regexp_replace("held", r"^[A-Za-z_]+=", "")
+    name = F.regexp_extract("held", r"^([A-Za-z_]+=)", 1)
     return (
         docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"), words.alias("w"))
         .withColumn(
@@ -54,7 +58,18 @@ def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
         )
         .select("id", "text_hash", "w", F.explode("places").alias("place"))
         .select("id", "text_hash", "place", plain.alias("word"), near(-2).alias("before2"), near(-1).alias("before1"), near(1).alias("after1"))
-        .select("id", "text_hash", "place", value.alias("value"), F.concat_ws(" ", "before2", "before1", name).alias("before"), "after1")
+        .withColumn("pieces", F.regexp_extract_all("word", F.lit(rf"([{_SIGNS}]+|[^{_SIGNS}]+)"), 1))
+        .select("*", F.posexplode("pieces").alias("at", "held"))
+        .filter((F.length("held") >= LEAST_CHARS) & F.col("held").rlike(rf"^[{_SIGNS}]") & F.col("held").rlike("[0-9]"))
+        .select(
+            "id",
+            "text_hash",
+            "place",
+            "at",
+            value.alias("value"),
+            F.concat_ws(" ", F.when(F.col("at") < 2, F.col("before2")), F.when(F.col("at") < 4, F.col("before1")), inside, name).alias("before"),
+            F.coalesce(F.get("pieces", F.col("at") + 2), "after1").alias("after1"),
+        )
         .filter((F.length("value") >= LEAST_CHARS) & F.col("value").rlike("[0-9]"))
     )
 
