@@ -133,3 +133,12 @@ def test_lines_against_brute_force(spark, monkeypatch):
         found = line_dedup.cleaned(docs).collect()
         assert sorted((str(r.row.doc_id), str(r.new_text), r.n_lines, r.n_removed) for r in found) == expected
     assert line_dedup.cleaned(docs.limit(0)).count() == 0
+
+
+def test_repeated_lines_of_few_words_go_without_a_floor(spark):
+    chinese = "\u8fd9\u662f\u4e00\u6bb5\u91cd\u590d\u7684\u6587\u5b57" * 9
+    rows = [(1, f"{chinese}\nAll rights\none two three four\n\na b c"), (2, f"{chinese}\nall  RIGHTS\nfive four three two one\n\na b d"), (3, "rights\n \nc b a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: sorted(r.removed) for r in line_dedup.marked(docs, least_words=1).collect()}
+    assert found == {2: [0, 1, 2], 3: [2]}
+    assert line_dedup.marked(docs).count() == 0

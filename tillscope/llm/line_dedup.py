@@ -2,7 +2,8 @@
 
 A line's tokens are its distinct words (parted by white space, A-Z lower-cased). Two lines match if their sets of tokens have
 a Jaccard similarity of 0.8 or more. A line goes if it matches any line before it, in the order of document id
-and line number; whether that line goes itself does not matter. Lines of fewer than ``LEAST_WORDS`` tokens stay.
+and line number; whether that line goes itself does not matter. Lines of fewer than ``least_words`` tokens stay, by default
+``LEAST_WORDS``; with 1, only lines without words always stay.
 
 The join is exact and runs on DataFrame functions:
 
@@ -36,21 +37,23 @@ _SPACES = "\t\r\v\f"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def marked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """id, text_hash and removed (numbers of lines, from 0) of every document of which lines go."""
     docs = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_NULL_ID)).alias("doc"),
         F.xxhash64(F.col(text).cast("string")).alias("hash"),
         _folded(F.col(text).cast("string")).alias("folded"),
     )
-    lines = saved(_sets(docs))
+    lines = saved(_sets(docs, max(1, least_words)))
     sets = saved(
         lines.groupBy("set", "sketch").agg(
             F.min(F.struct("doc", "line", "n", "prefix")).alias("x"), F.count(F.lit(1)).alias("times")
         ).select("set", "sketch", "x.doc", "x.line", "x.n", "x.prefix", "times")
     )
-    first = _verified(docs, _early_candidates(sets))
-    barred = sets.join(_bars(first), ["doc", "line", "sketch"], "left")
+    # Up to three words only equal sets match, and those are one already.
+    comparable = sets.filter("n > 3")
+    first = _verified(docs, _early_candidates(comparable))
+    barred = comparable.join(_bars(first), ["doc", "line", "sketch"], "left")
     second = _verified(docs, _full_candidates(barred))
     bars = _bars(first.union(second))
     late = saved(
@@ -69,9 +72,9 @@ def marked(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
-def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """All rows and columns as the struct ``row``, with new_text, n_lines and n_removed."""
-    found = saved(marked(docs, id, text))
+    found = saved(marked(docs, id, text, least_words))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(id).cast("long"), F.lit(_NULL_ID)).alias("of"),
@@ -142,7 +145,7 @@ def _sketch(tokens: Column) -> Column:
     )
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, least_words: int) -> DataFrame:
     """doc, hash, line, set (a hash), sketch, n and prefix of every line with enough words."""
     rarity = _rarity(docs).scalar()
     n = F.col("n")
@@ -150,7 +153,7 @@ def _sets(docs: DataFrame) -> DataFrame:
         docs.select("doc", "hash", F.posexplode(F.split("folded", "\n")).alias("line", "own"), rarity.alias("rarity"))
         .select("doc", "hash", "line", _line_tokens(F.col("own"), F.col("rarity")).alias("tokens"))
         .withColumn("n", F.size("tokens"))
-        .filter(n >= LEAST_WORDS)
+        .filter(n >= least_words)
         .select(
             "doc",
             "hash",
