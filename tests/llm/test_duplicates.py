@@ -100,7 +100,7 @@ def plain_removed(rows):
         for n, line in enumerate((text or "").split("\n")):
             own = words_of(line)
             at = (-(1 << 63) if id is None else id, n)
-            if len(own) >= 5 and any((i, m) < at and len(w) >= 5 and 9 * len(w & own) >= 4 * (len(w) + len(own)) for i, m, w in places):
+            if own and any((i, m) < at and w and 9 * len(w & own) >= 4 * (len(w) + len(own)) for i, m, w in places):
                 gone.add(n)
         out.append(gone)
     return out
@@ -135,10 +135,39 @@ def test_lines_against_brute_force(spark, monkeypatch):
     assert line_dedup.cleaned(docs.limit(0)).count() == 0
 
 
-def test_repeated_lines_of_few_words_go_without_a_floor(spark):
+def test_repeated_lines_of_few_words_go(spark):
     chinese = "\u8fd9\u662f\u4e00\u6bb5\u91cd\u590d\u7684\u6587\u5b57" * 9
     rows = [(1, f"{chinese}\nAll rights\none two three four\n\na b c"), (2, f"{chinese}\nall  RIGHTS\nfive four three two one\n\na b d"), (3, "rights\n \nc b a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.id: sorted(r.removed) for r in line_dedup.marked(docs, least_words=1).collect()}
+    found = {r.id: sorted(r.removed) for r in line_dedup.marked(docs).collect()}
     assert found == {2: [0, 1, 2], 3: [2]}
-    assert line_dedup.marked(docs).count() == 0
+    assert line_dedup.marked(docs, least_words=5).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    # Words whose hashes are of one class of the sketch, so that sketches and places agree where sets differ.
+    base = "a b c d e f g h"
+    by = defaultdict(list)
+    for k in range(400):
+        by[xxhash.xxh64_intdigest(f"v{k}".encode(), 42) & 63].append(f"v{k}")
+    p, q, r = next(v for v in by.values() if len(v) > 2)[:3]
+    rows = [(1, f"{base} {p}"), (1, f"{base} {q}"), (2, f"{base} {p} xx"), (3, f"{base} {q} yy"), (None, f"i j k l m {p}"), (None, f"i j k l m {q}")]
+    rows += [(None, f"i j k l m {q}"), (None, None), (4, f"m l k j i {q}"), (5, f"i j k l m {r}"), (6, f"one {r}"), (6, f"one {q}"), (7, f"one {r}\none {q}\none {p}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(x.row.doc_id), str(x.row.text), x.n_removed) for x in line_dedup.cleaned(docs).collect())
+    assert found == sorted((str(i), str(t), len(g)) for (i, t), g in zip(rows, plain_removed(rows)))
+    assert sum(n for _, _, n in found) >= 5
+
+
+def test_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for id in range(300):
+        own = list(words)
+        for k in rng.choice(60, 4, replace=False):
+            own[k] = f"x{id}_{k}"
+        rows.append((id, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: sorted(r.removed) for r in line_dedup.marked(docs).collect()}
+    assert found == {i: sorted(g) for (i, _), g in zip(rows, plain_removed(rows)) if g}

@@ -2,18 +2,19 @@
 
 A line's tokens are its distinct words (parted by white space, A-Z lower-cased). Two lines match if their sets of tokens have
 a Jaccard similarity of 0.8 or more. A line goes if it matches any line before it, in the order of document id
-and line number; whether that line goes itself does not matter. Lines of fewer than ``least_words`` tokens stay, by default
-``LEAST_WORDS``; with 1, only lines without words always stay.
+and line number; whether that line goes itself does not matter. Lines of fewer than ``least_words`` tokens stay; by default
+only lines without words do.
 
 The join is exact and runs on DataFrame functions:
 
-1. Tokens are counted over all documents, in 65,536 classes of their hash. A token is a number that holds its rarity in the
+1. Tokens are counted over all documents, in 262,144 classes of their hash. A token is a number that holds its rarity in the
    upper bits, so sets sort by rarity, rarest first.
-2. Equal sets become one, with its first place and its number.
+2. Equal sets become one, with its first place and its number. Every place after the first goes. It remains to be found
+   whether an earlier set matches: that one's place is before all places of the set, so all of them go.
 3. Prefix, positional and length filters, and a parity sketch of the set that bounds its difference from below, choose
-   candidates; words decide. To spare hot groups, sets first meet the earliest and the most frequent set of their rarest
-   tokens. A match found so sets a bar, and the full comparison looks only for matches before the bar.
-4. Every place of a set that comes after its bar is removed.
+   candidates; words decide. To spare hot groups, sets first meet the earliest and the most frequent set of two of their
+   prefix tokens. Only sets without a match go on to the full comparison, which verifies the most alike candidate of each,
+   and to the last one, which verifies all candidates of sets whose most alike one was none.
 
 NULL ids come first. Lines at the same place of rows that share an id are not before one another. Rows that agree in id and
 text share their result, and each gives a row. NULL texts stay NULL, without lines. Other columns are ignored by ``marked``
@@ -27,52 +28,59 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-LEAST_WORDS = 5
-#: Documents are looked up by a broadcast of their ids up to this number (8 to 16 bytes each), else by a shuffle.
+#: Documents and sets are looked up by a broadcast of their keys up to this number (20 bytes each), else by a shuffle.
 BROADCAST_DOCUMENTS = 1_000_000
-_CLASSES = 1 << 16
-_RARE = 3
+_CLASSES = 1 << 18
+_LEADS = 2
 _NULL_ID = -(1 << 63)
 _SPACES = "\t\r\v\f"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PLACE = ["doc", "hash", "line"]
+_PAIR = [f"{x}_{c}" for x in "ab" for c in _PLACE]
 
 
-def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = 1) -> DataFrame:
     """id, text_hash and removed (numbers of lines, from 0) of every document of which lines go."""
     docs = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_NULL_ID)).alias("doc"),
         F.xxhash64(F.col(text).cast("string")).alias("hash"),
-        _folded(F.col(text).cast("string")).alias("folded"),
+        F.col(text).cast("string").alias("text"),
     )
-    lines = saved(_sets(docs, max(1, least_words)))
+    lines = saved(_sets(docs)).filter(F.col("n") >= max(1, least_words))
     sets = saved(
-        lines.groupBy("set", "sketch").agg(
-            F.min(F.struct("doc", "line", "n", "prefix")).alias("x"), F.count(F.lit(1)).alias("times")
-        ).select("set", "sketch", "x.doc", "x.line", "x.n", "x.prefix", "times")
+        lines.groupBy("set", "sketch")
+        .agg(F.min(F.struct("doc", "line", "hash", "n", "prefix")).alias("x"), F.count(F.lit(1)).alias("times"))
+        .select("set", "sketch", "x.doc", "x.hash", "x.line", "x.n", "x.prefix", "times")
     )
     # Up to three words only equal sets match, and those are one already.
     comparable = sets.filter("n > 3")
-    first = _verified(docs, _early_candidates(comparable))
-    barred = comparable.join(_bars(first), ["doc", "line", "sketch"], "left")
-    second = _verified(docs, _full_candidates(barred))
-    bars = _bars(first.union(second))
+    matched = _verified(docs, _lead_candidates(comparable))
+    still = _entries(_unmatched(comparable, matched))
+    best = saved(_best(_full_candidates(still, still)))
+    found = _verified(docs, best)
+    failed = saved(best.select(*[F.col(f"b_{c}").alias(c) for c in _PLACE]).join(found, _PLACE, "left_anti"))
+    asked = _entries(comparable.join(_small(failed), _PLACE, "left_semi"))
+    if failed.count() <= BROADCAST_DOCUMENTS // 10:  # about ten entries each
+        asked = F.broadcast(asked)
+    last = _verified(docs, _full_candidates(_entries(comparable), asked).select(*_PAIR).distinct())
+    matched = matched.union(found).union(last).withColumn("matched", F.lit(True))
     late = saved(
-        sets.select("set", "sketch", "doc", "line", "times")
-        .join(bars, ["doc", "line", "sketch"], "left")
-        .filter("times > 1 OR bar IS NOT NULL")
-        .select("set", "sketch", F.coalesce("bar", F.struct("doc", "line")).alias("bar"))
+        sets.select("set", "sketch", *_PLACE, "times")
+        .join(matched, _PLACE, "left")
+        .filter("times > 1 OR matched")
+        .select("set", "sketch", F.when(F.col("matched").isNull(), F.struct("doc", "line")).alias("first"))
     )
     return (
-        lines.select("doc", "hash", "line", "set", "sketch")
+        lines.select(*_PLACE, "set", "sketch")
         .join(late, ["set", "sketch"])
-        .filter(F.struct("doc", "line") > F.col("bar"))
+        .filter(F.col("first").isNull() | (F.struct("doc", "line") > F.col("first")))
         .groupBy("doc", "hash")
         .agg(F.collect_set("line").alias("removed"))
         .select(F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("id"), F.col("hash").alias("text_hash"), "removed")
     )
 
 
-def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = 1) -> DataFrame:
     """All rows and columns as the struct ``row``, with new_text, n_lines and n_removed."""
     found = saved(marked(docs, id, text, least_words))
     rows = docs.select(
@@ -100,39 +108,45 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words
     )
 
 
-def _folded(text: Column) -> Column:
-    return F.translate(text, _UPPER + _SPACES, _UPPER.lower() + " " * len(_SPACES))
+def _folded(line: Column) -> Column:
+    """A-Z as a-z; where all is ASCII the built-in lower case does the same at less cost."""
+    return F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(F.translate(line, _UPPER, _UPPER.lower()))
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, " "), lambda w: w != "")
+    return F.filter(F.split(_spaced(_folded(line), _SPACES), " "), lambda w: w != "")
+
+
+def _spaced(text: Column, signs: str) -> Column:
+    """Other white space as spaces; most texts have none, and looking costs less than translating."""
+    return F.when(text.rlike(f"[{signs}]"), F.translate(text, signs, " " * len(signs))).otherwise(text)
+
+
+def _class(hash: Column) -> Column:
+    return hash.bitwiseAND(F.lit(_CLASSES - 1)).cast("int")
 
 
 def _rarity(docs: DataFrame) -> DataFrame:
     """One row with an array: the class of frequency of every class of hash, a third of a binary order of magnitude each."""
     counted = (
-        docs.select(F.explode(F.split(F.translate("folded", "\n", " "), " ")).alias("w"))
+        docs.select(F.explode(F.split(_spaced(_folded(F.col("text")), "\n" + _SPACES), " ")).alias("w"))
         .filter("w <> ''")
-        .groupBy(F.xxhash64("w").bitwiseAND(F.lit(_CLASSES - 1)).cast("int").alias("k"))
+        .groupBy(_class(F.xxhash64("w")).alias("k"))
         .agg(F.count(F.lit(1)).alias("c"))
-        .select("k", F.least(F.lit(126), F.floor(3 * F.log2("c"))).cast("int").alias("c"))
-        .collect()  # at most one row for each class
+        .select("k", F.least(F.lit(126), F.floor(3 * F.log2("c"))).cast("tinyint").alias("c"))
     )
-    classes = [0] * _CLASSES
-    for r in counted:
-        classes[r.k] = r.c
-    return saved(docs.sparkSession.createDataFrame([(classes,)], "rarity array<int>"))
+    every = docs.sparkSession.range(_CLASSES).select(F.col("id").cast("int").alias("k"))
+    pairs = every.join(counted, "k", "left").agg(F.collect_list(F.struct("k", F.coalesce("c", F.lit(0).cast("tinyint")).alias("c"))).alias("p"))
+    return saved(pairs.select(F.transform(F.sort_array("p"), lambda x: x["c"]).alias("rarity")))
 
 
 def _line_tokens(line: Column, rarity: Column) -> Column:
     """Distinct tokens, rarest first; a token is its class of frequency, then 56 bits of its hash."""
 
-    def token(w: Column) -> Column:
-        h = F.xxhash64(w)
-        c = F.get(rarity, h.bitwiseAND(F.lit(_CLASSES - 1)).cast("int"))
-        return F.shiftleft(c.cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    def token(h: Column) -> Column:
+        return F.shiftleft(F.get(rarity, _class(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), token)))
 
 
 def _sketch(tokens: Column) -> Column:
@@ -145,19 +159,18 @@ def _sketch(tokens: Column) -> Column:
     )
 
 
-def _sets(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc, hash, line, set (a hash), sketch, n and prefix of every line with enough words."""
-    rarity = _rarity(docs).scalar()
-    n = F.col("n")
+def _sets(docs: DataFrame) -> DataFrame:
+    """doc, hash, line, set (a hash), sketch, n and prefix of every line.
+
+    Lines without words are kept: a filter here would be moved below and make the tokens twice.
+    """
+    rarity, n = _rarity(docs).scalar(), F.col("n")
     return (
-        docs.select("doc", "hash", F.posexplode(F.split("folded", "\n")).alias("line", "own"), rarity.alias("rarity"))
-        .select("doc", "hash", "line", _line_tokens(F.col("own"), F.col("rarity")).alias("tokens"))
+        docs.select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("line", "own"), rarity.alias("rarity"))
+        .select(*_PLACE, _line_tokens(F.col("own"), F.col("rarity")).alias("tokens"))
         .withColumn("n", F.size("tokens"))
-        .filter(n >= least_words)
         .select(
-            "doc",
-            "hash",
-            "line",
+            *_PLACE,
             F.xxhash64("tokens").alias("set"),
             _sketch(F.col("tokens")).alias("sketch"),
             "n",
@@ -169,110 +182,103 @@ def _sets(docs: DataFrame, least_words: int) -> DataFrame:
     )
 
 
+def _differing(a: str, b: str) -> Column:
+    """At most the number of tokens that only one of the sets has."""
+    return F.bit_count(F.col(f"{a}_sketch").bitwiseXOR(F.col(f"{b}_sketch")))
+
+
 def _possible(a: str, b: str) -> Column:
-    """Whether length, place of the shared token and sketch let the sets be similar; overlap >= 4 (n + m) / 9 then."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    inside = 1 + F.least(n - F.col(f"{a}.at"), m - F.col(f"{b}.at"))
-    differing = F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch")))
-    return (
-        (n * 5 >= m * 4)
-        & (m * 5 >= n * 4)
-        & (inside * 9 >= (n + m) * 4)
-        & (differing <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
-    )
+    """Whether length and sketch let the sets be similar; their overlap is at least 4 (n + m) / 9 then."""
+    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (_differing(a, b) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
+
+
+def _before(a: str, b: str) -> Column:
+    x, y = F.col(f"{a}_doc"), F.col(f"{b}_doc")
+    return (x < y) | ((x == y) & (F.col(f"{a}_line") < F.col(f"{b}_line")))
 
 
-_PAIR = ["a.doc AS a_doc", "a.line AS a_line", "a.sketch AS a_sketch", "b.doc AS b_doc", "b.line AS b_line", "b.sketch AS b_sketch"]
 
 
-def _early_candidates(sets: DataFrame) -> DataFrame:
-    """Each set with the earliest and the most frequent set of each of its rarest tokens, if they come earlier."""
+def _small(keys: DataFrame) -> DataFrame:
+    """A saved table of keys, marked for broadcasting if its counted number is small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_DOCUMENTS else keys
+
+
+def _lead_candidates(sets: DataFrame) -> DataFrame:
+    """Each set with the most alike of the earliest and the most frequent sets of some of its tokens, if they come earlier."""
+    # The tokens of least hashes: similar sets often have the same ones.
     entries = sets.select(
-        F.struct("doc", "line", "sketch", "n").alias("s"), "times", F.posexplode(F.slice("prefix", 1, _RARE)).alias("at", "token")
-    ).select("token", "times", F.struct("s.doc", "s.line", "s.sketch", "s.n", (F.col("at") + 1).alias("at")).alias("b"))
+        F.struct(*[F.col(c).alias(f"b_{c}") for c in ("doc", "line", "hash", "sketch", "n")]).alias("b"),
+        "times",
+        F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, _LEADS)).alias("token"),
+    )
     leads = (
         entries.groupBy("token")
         .agg(F.min("b").alias("early"), F.max(F.struct("times", "b")).alias("common"), F.count(F.lit(1)).alias("k"))
         .filter("k > 1")
         .select("token", F.explode(F.array_distinct(F.array("early", "common.b"))).alias("a"))
+        .select("token", *[F.col(f"a.b_{c}").alias(f"a_{c}") for c in ("doc", "line", "hash", "sketch", "n")])
     )
-    return (
-        entries.join(leads, "token")
-        .filter("struct(a.doc, a.line) < struct(b.doc, b.line)")
-        .filter(_possible("a", "b"))
-        .selectExpr(*_PAIR)
-    )
+    return _best(entries.select("token", "b.*").join(leads, "token").filter(_before("a", "b") & _possible("a", "b")))
 
 
-def _full_candidates(sets: DataFrame) -> DataFrame:
-    """Sets that share a token of their prefixes, the one before the other's bar."""
-    # An array keeps both sides of the join alike, so that they are shuffled once.
-    bar = F.coalesce("bar", F.struct("doc", "line"))
-    entries = sets.select(
-        F.array("doc", F.col("line").cast("long"), "sketch", F.col("n").cast("long"), bar["doc"], bar["line"].cast("long")).alias("v"),
-        F.posexplode("prefix").alias("at", "token"),
-    ).select("token", F.concat("v", F.array((F.col("at") + 1).cast("long"))).alias("v"))
-
-    def side(name: str) -> DataFrame:
-        return entries.withColumnRenamed("v", name)
-
-    def part(name: str) -> Column:
-        v = F.col(name)
-        return F.struct(
-            v[0].alias("doc"), v[1].cast("int").alias("line"), v[2].alias("sketch"), v[3].cast("int").alias("n"), v[6].cast("int").alias("at")
-        ).alias(name[0])
-
-    a, b = F.col("a_set"), F.col("b_set")
-    n, m = a[3], b[3]
-    before = (a[0] < b[4]) | ((a[0] == b[4]) & (a[1] < b[5]))
-    near = (
-        (n * 5 >= m * 4)
-        & (m * 5 >= n * 4)
-        & ((1 + F.least(n - a[6], m - b[6])) * 9 >= (n + m) * 4)
-        & (F.bit_count(a[2].bitwiseXOR(b[2])) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
-    )
-    left, right = side("a_set"), side("b_set").withColumnRenamed("token", "of")
-    # Behind coalesce no side gets null tests of its own, which would make the two shuffles differ.
+def _best(pairs: DataFrame) -> DataFrame:
+    """The pair of each second set that differs least."""
     return (
-        left.join(right, (F.col("token") == F.col("of")) & F.coalesce(before & near, F.lit(False)))
-        .select(part("a_set"), part("b_set"))
-        .selectExpr(*_PAIR)
+        pairs.groupBy(*[f"b_{c}" for c in _PLACE])
+        .agg(F.min(F.struct(_differing("a", "b").alias("differing"), *[f"a_{c}" for c in _PLACE])).alias("a"))
+        .select(*[f"a.a_{c}" for c in _PLACE], *[f"b_{c}" for c in _PLACE])
     )
 
 
+def _unmatched(sets: DataFrame, matched: DataFrame) -> DataFrame:
+    """The sets with ``open``: whether none matched so far."""
+    known = _small(matched.withColumn("known", F.lit(True)))
+    return sets.join(known, _PLACE, "left").withColumn("open", F.col("known").isNull()).drop("known")
+
+
+def _entries(sets: DataFrame) -> DataFrame:
+    """A row for each token of a prefix; ``size`` holds n, and whether matches are asked for in its last bit."""
+    asked = F.col("open").cast("int") if "open" in sets.columns else F.lit(1)
+    return sets.select(*_PLACE, "sketch", (F.col("n") * 2 + asked).alias("size"), F.posexplode("prefix").alias("at", "token"))
+
+
+def _full_candidates(earlier: DataFrame, asked: DataFrame) -> DataFrame:
+    """Pairs of entries with the same token, the one before the other, that can belong to similar sets."""
+    a, b = (e.select(*[F.col(c).alias(f"{x}_{c}") for c in e.columns]) for x, e in (("a", earlier), ("b", asked)))
+    a, b = (e.withColumn(f"{x}_n", F.shiftright(f"{x}_size", 1)) for x, e in (("a", a), ("b", b)))
+    inside = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))  # tokens that can be shared from here on
+    near = _before("a", "b") & _possible("a", "b") & (inside * 9 >= (F.col("a_n") + F.col("b_n")) * 4)
+    # Behind coalesce no side gets filters of its own; so equal tables of entries are shuffled once.
+    wanted = F.coalesce(near & (F.col("b_size").bitwiseAND(F.lit(1)) == 1), F.lit(False))
+    return a.join(b, (F.col("a_token") == F.col("b_token")) & wanted)
+
+
 def _verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The candidates whose words are similar enough."""
-    pairs = saved(candidates.distinct())
+    """The second sets of the candidates whose words are similar enough, by their first places."""
+    pairs = saved(candidates)
     places = saved(
-        pairs.selectExpr("a_doc AS doc", "a_line AS line", "a_sketch AS sketch")
-        .union(pairs.selectExpr("b_doc", "b_line", "b_sketch"))
-        .distinct()
+        pairs.select(*[F.col(f"a_{c}").alias(c) for c in _PLACE]).union(pairs.select(*[f"b_{c}" for c in _PLACE])).distinct()
     )
-    ids, wanted = places.select("doc").distinct(), places.select("doc", "line").distinct()
+    rows, wanted = places.select("doc", "hash").distinct(), places
     if places.count() <= BROADCAST_DOCUMENTS:
-        ids, wanted = F.broadcast(ids), F.broadcast(wanted)
+        rows, wanted = F.broadcast(rows), F.broadcast(wanted)
     found = (
-        docs.join(ids, "doc", "left_semi")
-        .select("doc", F.posexplode(F.split("folded", "\n")).alias("line", "own"))
-        .join(wanted, ["doc", "line"])
-        .select("doc", "line", F.array_distinct(_words(F.col("own"))).alias("words"))
-        # The sketch tells lines at the same place of rows that share an id apart.
-        .withColumn("sketch", _sketch(F.transform("words", lambda w: F.xxhash64(w))))
-        .dropDuplicates(["doc", "line", "sketch"])
+        docs.join(rows, ["doc", "hash"], "left_semi")
+        .select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("line", "own"))
+        .join(wanted, _PLACE)
+        .dropDuplicates(_PLACE)
     )
-    left = found.select(F.col("doc").alias("a_doc"), F.col("line").alias("a_line"), F.col("sketch").alias("a_sketch"), F.col("words").alias("a_words"))
-    right = found.select(F.col("doc").alias("b_doc"), F.col("line").alias("b_line"), F.col("sketch").alias("b_sketch"), F.col("words").alias("b_words"))
-    shared = F.size(F.array_intersect("a_words", "b_words"))
+    # Lines travel as text, which shuffles compress, and are cut into words where they meet.
+    left, right = (found.select(*[F.col(c).alias(f"{x}_{c}") for c in (*_PLACE, "own")]) for x in "ab")
+    a, b = (F.array_distinct(_words(F.col(f"{x}_own"))) for x in "ab")
     return saved(
-        pairs.join(left, ["a_doc", "a_line", "a_sketch"])
-        .join(right, ["b_doc", "b_line", "b_sketch"])
-        .filter(shared * 9 >= (F.size("a_words") + F.size("b_words")) * 4)
-        .select("a_doc", "a_line", "b_doc", "b_line", "b_sketch")
-    )
-
-
-def _bars(pairs: DataFrame) -> DataFrame:
-    """The earliest match of each set that has one."""
-    return pairs.groupBy(F.col("b_doc").alias("doc"), F.col("b_line").alias("line"), F.col("b_sketch").alias("sketch")).agg(
-        F.min(F.struct(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"))).alias("bar")
+        pairs.join(left, [f"a_{c}" for c in _PLACE])
+        .join(right, [f"b_{c}" for c in _PLACE])
+        .select(*[F.col(f"b_{c}").alias(c) for c in _PLACE], a.alias("a"), b.alias("b"))
+        .select(*_PLACE, F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("both"))
+        .filter("shared * 9 >= both * 4")
+        .select(*_PLACE)
+        .distinct()
     )

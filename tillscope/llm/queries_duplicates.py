@@ -35,7 +35,7 @@ OP8_SQL = r"""
         SELECT doc_id, line, own, list_sort(list_distinct(list_filter(string_split(translate(own, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(11) || chr(12) || chr(13), 'abcdefghijklmnopqrstuvwxyz    '), ' '), lambda w: w <> ''))) AS w
         FROM lines
     ), places AS (
-        SELECT row_number() OVER (ORDER BY doc_id, line) AS place, * FROM sets WHERE len(w) >= 5
+        SELECT row_number() OVER (ORDER BY doc_id, line) AS place, * FROM sets WHERE len(w) >= 1
     ), words AS (
         SELECT place, len(w) AS n, unnest(w) AS word FROM places
     ), rare AS (
