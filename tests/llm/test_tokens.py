@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tillscope.llm import bpe, token_files
+from tillscope.llm import bpe, queries_tokens, token_files
 from tillscope.llm.common import tokenizer_path, workspace
 from tillscope.llm.tokens import Codec, Vocabulary, texts_of
 
@@ -58,6 +58,16 @@ def test_batches_encode_like_the_library(spec, library):
         assert vocabulary.decode(ids) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_codec_that_forgets_gives_the_same_ids(spec):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 400, 300)) for _ in range(30)]
+    steady, short = Codec(Vocabulary(spec)), Codec(Vocabulary(spec), remembered=250)
+    for text in texts:
+        (data, offsets, _), = texts_of(pa.array([text, ""]))
+        assert [a.tolist() for a in short.encode(data, offsets)] == [a.tolist() for a in steady.encode(data, offsets)]
+    assert len(short.known) < 400 and len(short.known) == len(short.lengths)
+
+
 def test_chunks_give_the_ids_of_whole_texts(spec, library, docs, rows):
     found = bpe.encode(docs, spec, decoded=True).collect()
     key = lambda id, ids, text: (id is None, id or 0, ids, text)
@@ -101,3 +111,20 @@ def test_chunk_keys_tell_ids_apart():
     data = np.frombuffer(b"text", np.uint8)
     assert len({bpe._key(1, data), bpe._key(2, data), bpe._key(None, data)}) == 3
     assert hashlib.blake2b(b"text", digest_size=16).digest() == bpe._key(None, data)
+
+
+def test_registered_queries_against_the_library(spark, library):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    ids = {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    found = {r.doc_id: r for r in queries_tokens.op1_bpe_encoding(spark, folder).collect()}
+    assert {i: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for i, r in found.items()} == {
+        i: (len(x), digest(np.array(x, "<u4").tobytes()), digest(library.decode(x, skip_special_tokens=False).encode())) for i, x in ids.items()
+    }
+    start, expected = 0, {}
+    for i in sorted(ids):
+        x = [*ids[i], queries_tokens.END_ID]
+        expected[i] = (start, len(x), zlib.crc32(np.array(x, "<u4").tobytes()))
+        start += len(x)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries_tokens.op6_token_files(spark, folder).collect()} == expected

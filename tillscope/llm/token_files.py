@@ -25,11 +25,12 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tokens import Codec, Vocabulary, give_back, texts_of
+from .tokens import Vocabulary, give_back, texts_of, worker_codec
 
 _WRITTEN = "part int, ids string, docs string, n_docs long, n_null long, n_tokens long, lengths string"
 _PART = "part int, ids string, docs string, lengths string, n_docs long, n_null long, base long, n_tokens long"
 _READ_TOKENS = 1 << 20
+_SLICE = 6 << 20
 
 
 def write(docs: DataFrame, folder: str, spec: str, end_id: int, id: str = "doc_id", text: str = "text") -> None:
@@ -50,9 +51,9 @@ def write(docs: DataFrame, folder: str, spec: str, end_id: int, id: str = "doc_i
         files, n_docs, n_null, n_tokens = {}, 0, 0, 0
         for batch in batches:
             if not codec:
-                codec = Codec(vocabulary)
+                codec = worker_codec(vocabulary)
                 files = {k: store.open_output_stream(f"{root}/{v}") for k, v in names.items()}
-            for data, offsets, first in texts_of(batch.column(1)):
+            for data, offsets, first in texts_of(batch.column(1), _SLICE):
                 ids, counts = codec.encode(data, offsets)
                 ends = np.cumsum(counts)
                 files["ids"].write(np.insert(ids, ends, end_id).astype(wide).tobytes())

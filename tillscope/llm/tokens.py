@@ -8,7 +8,11 @@ look-ahead concerns white space only. Cutting texts there and encoding the piece
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import os
+import sys
+import types
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,10 +97,8 @@ class Vocabulary:
 class Codec:
     """Encodes batches of UTF-8 texts, for a byte-level tokenizer."""
 
-    #: Pieces remembered between batches; beyond that the memory starts anew, which changes no result.
-    REMEMBERED = 200_000
-
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 200_000):
+        """Beyond ``remembered`` pieces only those used lately stay in memory, which changes no result."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -104,12 +106,25 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.sizes = vocabulary.sizes
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
+        self.recent: deque[np.ndarray] = deque(maxlen=8)
+        self.remembered = remembered
+
+    def _forget(self) -> None:
+        """Keeps the pieces of the latest batches, up to half of what may be remembered."""
+        keep, at = np.zeros(len(self.lengths), bool), len(self.recent)
+        while at and keep.sum() < self.remembered // 2:
+            at -= 1
+            keep[self.recent[at]] = True
+        if keep.sum() > self.remembered // 2:
+            keep[:] = False
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.flat, self.lengths = self.flat[ragged(starts[keep], self.lengths[keep])], self.lengths[keep]
+        place = np.cumsum(keep) - 1
+        self.known = {w: int(place[n]) for w, n in self.known.items() if keep[n]}
+        self.recent.clear()
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each."""
@@ -124,10 +139,11 @@ class Codec:
             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]
         ).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
-        if len(self.known) > self.REMEMBERED:
+        if len(self.known) > self.remembered:
             self._forget()
         self._learn([w for w in distinct if w not in self.known])
         known = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        self.recent.append(known)
         which = known[pieces.indices.to_numpy()]
         sizes = self.lengths[which]
         starts = (np.cumsum(self.lengths) - self.lengths)[which]
@@ -159,6 +175,15 @@ class Codec:
         self.flat, self.lengths = np.concatenate(ids), np.concatenate(lengths)
 
 
+def worker_codec(vocabulary: Vocabulary) -> Codec:
+    """The codec of this Python worker, which serves its tasks one after the other and keeps what it has learned."""
+    held = sys.modules.setdefault("_worker_codec", types.ModuleType("_worker_codec"))
+    key = hashlib.blake2b(vocabulary.spec.encode()).digest()
+    if getattr(held, "key", None) != key:
+        held.codec, held.key = Codec(vocabulary, remembered=600_000), key
+    return held.codec
+
+
 def _joinable(word: bytes) -> bool:
     """Whether the piece starts with white space and ends with a visible character."""
     return (word[0] == 32 or 9 <= word[0] <= 13) and (
