@@ -57,9 +57,9 @@ OP3_SQL = r"""
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of every document with its judgement; values leave as digests."""
     docs = table(spark, folder, "documents")
-    found = saved(secrets.features(secrets.candidates(docs), secrets.dictionary(docs)))
-    model = secrets.train(found.withColumn("label", secrets.rule_labels()))
-    return secrets.judge(found, model).select(
+    known = secrets.dictionary(docs)
+    model = secrets.train(secrets.planted_findings(saved(secrets.planted(docs)), known))
+    return secrets.judge(secrets.features(secrets.candidates(docs), known), model).select(
         F.col("id").alias("doc_id"),
         "place",
         "at",
