@@ -12,8 +12,8 @@ The join is exact and runs on DataFrame functions:
 2. Equal sets become one, with its first place and its number. Every place after the first goes. It remains to be found
    whether an earlier set matches: that one's place is before all places of the set, so all of them go.
 3. Prefix, positional and length filters, and a parity sketch of the set that bounds its difference from below, choose
-   candidates; words decide. To spare hot groups, sets first meet the earliest and the most frequent set of two of their
-   prefix tokens. Only sets without a match go on to the full comparison, which verifies the most alike candidate of each,
+   candidates; words decide. To spare hot groups, sets first meet the earliest and the most frequent set with the same token
+   of least hash. Only sets without a match go on to the full comparison, which verifies the most alike candidate of each,
    and to the last one, which verifies all candidates of sets whose most alike one was none.
 
 NULL ids come first. Lines at the same place of rows that share an id are not before one another. Rows that agree in id and
@@ -26,17 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import free_shuffles, saved
 
 #: Documents and sets are looked up by a broadcast of their keys up to this number (20 bytes each), else by a shuffle.
 BROADCAST_DOCUMENTS = 1_000_000
 _CLASSES = 1 << 18
-_LEADS = 2
 _NULL_ID = -(1 << 63)
 _SPACES = "\t\r\v\f"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PLACE = ["doc", "hash", "line"]
-_PAIR = [f"{x}_{c}" for x in "ab" for c in _PLACE]
 
 
 def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = 1) -> DataFrame:
@@ -49,24 +47,28 @@ def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words:
     lines = saved(_sets(docs)).filter(F.col("n") >= max(1, least_words))
     sets = saved(
         lines.groupBy("set", "sketch")
-        .agg(F.min(F.struct("doc", "line", "hash", "n", "prefix")).alias("x"), F.count(F.lit(1)).alias("times"))
-        .select("set", "sketch", "x.doc", "x.hash", "x.line", "x.n", "x.prefix", "times")
+        .agg(F.min(F.struct("doc", "line", "hash", "n", "least", "prefix")).alias("x"), F.count(F.lit(1)).alias("times"))
+        .select("set", "sketch", "x.*", "times")
+        .withColumn("sid", F.monotonically_increasing_id())  # fixed by the file that holds it
     )
     # Up to three words only equal sets match, and those are one already.
     comparable = sets.filter("n > 3")
-    matched = _verified(docs, _lead_candidates(comparable))
+    free_shuffles(docs.sparkSession)
+    matched = _verified(docs, sets, _lead_candidates(comparable))
+    free_shuffles(docs.sparkSession)
     still = _entries(_unmatched(comparable, matched))
     best = saved(_best(_full_candidates(still, still)))
-    found = _verified(docs, best)
-    failed = saved(best.select(*[F.col(f"b_{c}").alias(c) for c in _PLACE]).join(found, _PLACE, "left_anti"))
-    asked = _entries(comparable.join(_small(failed), _PLACE, "left_semi"))
+    free_shuffles(docs.sparkSession)
+    found = _verified(docs, sets, best)
+    failed = saved(best.select(F.col("b_sid").alias("sid")).join(found, "sid", "left_anti"))
+    asked = _entries(comparable.join(_small(failed), "sid", "left_semi"))
     if failed.count() <= BROADCAST_DOCUMENTS // 10:  # about ten entries each
         asked = F.broadcast(asked)
-    last = _verified(docs, _full_candidates(_entries(comparable), asked).select(*_PAIR).distinct())
+    last = _verified(docs, sets, _full_candidates(_entries(comparable), asked).select("a_sid", "b_sid").distinct())
     matched = matched.union(found).union(last).withColumn("matched", F.lit(True))
     late = saved(
-        sets.select("set", "sketch", *_PLACE, "times")
-        .join(matched, _PLACE, "left")
+        sets.select("set", "sketch", "sid", "doc", "line", "times")
+        .join(matched, "sid", "left")
         .filter("times > 1 OR matched")
         .select("set", "sketch", F.when(F.col("matched").isNull(), F.struct("doc", "line")).alias("first"))
     )
@@ -108,13 +110,15 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words
     )
 
 
-def _folded(line: Column) -> Column:
-    """A-Z as a-z; where all is ASCII the built-in lower case does the same at less cost."""
-    return F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(F.translate(line, _UPPER, _UPPER.lower()))
+def _folded(word: Column) -> Column:
+    """A-Z as a-z. The built-in lower case does the same, at less cost, where all is ASCII or nothing changes."""
+    small = F.lower(word)
+    same = (F.octet_length(word) == F.length(word)) | (small == word)
+    return F.when(same, small).otherwise(F.translate(word, _UPPER, _UPPER.lower()))
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(_spaced(_folded(line), _SPACES), " "), lambda w: w != "")
+    return F.array_remove(F.split(_spaced(line, _SPACES), " "), "")
 
 
 def _spaced(text: Column, signs: str) -> Column:
@@ -129,9 +133,10 @@ def _class(hash: Column) -> Column:
 def _rarity(docs: DataFrame) -> DataFrame:
     """One row with an array: the class of frequency of every class of hash, a third of a binary order of magnitude each."""
     counted = (
-        docs.select(F.explode(F.split(_spaced(_folded(F.col("text")), "\n" + _SPACES), " ")).alias("w"))
+        docs.select(F.explode(F.split("text", "\n")).alias("line"))
+        .select(F.explode(F.split(_spaced(F.col("line"), _SPACES), " ")).alias("w"))
         .filter("w <> ''")
-        .groupBy(_class(F.xxhash64("w")).alias("k"))
+        .groupBy(_class(F.xxhash64(_folded(F.col("w")))).alias("k"))
         .agg(F.count(F.lit(1)).alias("c"))
         .select("k", F.least(F.lit(126), F.floor(3 * F.log2("c"))).cast("tinyint").alias("c"))
     )
@@ -140,13 +145,16 @@ def _rarity(docs: DataFrame) -> DataFrame:
     return saved(pairs.select(F.transform(F.sort_array("p"), lambda x: x["c"]).alias("rarity")))
 
 
-def _line_tokens(line: Column, rarity: Column) -> Column:
-    """Distinct tokens, rarest first; a token is its class of frequency, then 56 bits of its hash."""
+def _hashes(line: Column) -> Column:
+    """Hashes of the distinct words."""
+    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(_folded(w))))
 
-    def token(h: Column) -> Column:
-        return F.shiftleft(F.get(rarity, _class(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), token)))
+def _tokens(hashes: Column, rarity: Column) -> Column:
+    """Rarest first; a token is its class of frequency, then 56 bits of its hash."""
+    return F.sort_array(
+        F.transform(hashes, lambda h: F.shiftleft(F.get(rarity, _class(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))))
+    )
 
 
 def _sketch(tokens: Column) -> Column:
@@ -160,20 +168,22 @@ def _sketch(tokens: Column) -> Column:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc, hash, line, set (a hash), sketch, n and prefix of every line.
+    """doc, hash, line, set (a hash), sketch, n, least (hash) and prefix of every line.
 
     Lines without words are kept: a filter here would be moved below and make the tokens twice.
     """
     rarity, n = _rarity(docs).scalar(), F.col("n")
     return (
         docs.select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("line", "own"), rarity.alias("rarity"))
-        .select(*_PLACE, _line_tokens(F.col("own"), F.col("rarity")).alias("tokens"))
+        .select(*_PLACE, _hashes(F.col("own")).alias("hashes"), "rarity")
+        .select(*_PLACE, F.array_min("hashes").alias("least"), _tokens(F.col("hashes"), F.col("rarity")).alias("tokens"))
         .withColumn("n", F.size("tokens"))
         .select(
             *_PLACE,
             F.xxhash64("tokens").alias("set"),
             _sketch(F.col("tokens")).alias("sketch"),
             "n",
+            "least",
             # Similar sets share a token here: n - ceil(0.8 n) + 1 of them.
             F.transform(
                 F.slice("tokens", 1, n - F.floor((n * 4 + 4) / 5).cast("int") + 1), lambda t: F.hash(t)
@@ -187,9 +197,9 @@ def _differing(a: str, b: str) -> Column:
     return F.bit_count(F.col(f"{a}_sketch").bitwiseXOR(F.col(f"{b}_sketch")))
 
 
-def _possible(a: str, b: str) -> Column:
+def _possible(a: str, b: str, n: Column | None = None, m: Column | None = None) -> Column:
     """Whether length and sketch let the sets be similar; their overlap is at least 4 (n + m) / 9 then."""
-    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    n, m = F.col(f"{a}_n") if n is None else n, F.col(f"{b}_n") if m is None else m
     return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (_differing(a, b) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
 
 
@@ -205,62 +215,56 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_DOCUMENTS else keys
 
 
+_SET = ["sid", "doc", "line", "sketch", "n"]
+
+
 def _lead_candidates(sets: DataFrame) -> DataFrame:
-    """Each set with the most alike of the earliest and the most frequent sets of some of its tokens, if they come earlier."""
-    # The tokens of least hashes: similar sets often have the same ones.
-    entries = sets.select(
-        F.struct(*[F.col(c).alias(f"b_{c}") for c in ("doc", "line", "hash", "sketch", "n")]).alias("b"),
-        "times",
-        F.explode(F.slice(F.sort_array(F.array_distinct("prefix")), 1, _LEADS)).alias("token"),
-    )
+    """Each set with the more alike of the earliest and the most frequent set with its least hash, if they come earlier."""
+    rows = sets.select("least", "times", F.struct("doc", "line", "sid", "sketch", "n").alias("b"))
     leads = (
-        entries.groupBy("token")
+        rows.groupBy("least")
         .agg(F.min("b").alias("early"), F.max(F.struct("times", "b")).alias("common"), F.count(F.lit(1)).alias("k"))
         .filter("k > 1")
-        .select("token", F.explode(F.array_distinct(F.array("early", "common.b"))).alias("a"))
-        .select("token", *[F.col(f"a.b_{c}").alias(f"a_{c}") for c in ("doc", "line", "hash", "sketch", "n")])
+        .select("least", F.explode(F.array_distinct(F.array("early", "common.b"))).alias("a"))
     )
-    return _best(entries.select("token", "b.*").join(leads, "token").filter(_before("a", "b") & _possible("a", "b")))
+    pairs = rows.join(leads, "least").select(*[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in _SET])
+    return _best(pairs.filter(_before("a", "b") & _possible("a", "b")))
 
 
 def _best(pairs: DataFrame) -> DataFrame:
     """The pair of each second set that differs least."""
-    return (
-        pairs.groupBy(*[f"b_{c}" for c in _PLACE])
-        .agg(F.min(F.struct(_differing("a", "b").alias("differing"), *[f"a_{c}" for c in _PLACE])).alias("a"))
-        .select(*[f"a.a_{c}" for c in _PLACE], *[f"b_{c}" for c in _PLACE])
-    )
+    best = F.min(F.struct(_differing("a", "b").alias("differing"), "a_sid"))
+    return pairs.groupBy("b_sid").agg(best.alias("a")).select("a.a_sid", "b_sid")
 
 
 def _unmatched(sets: DataFrame, matched: DataFrame) -> DataFrame:
     """The sets with ``open``: whether none matched so far."""
     known = _small(matched.withColumn("known", F.lit(True)))
-    return sets.join(known, _PLACE, "left").withColumn("open", F.col("known").isNull()).drop("known")
+    return sets.join(known, "sid", "left").withColumn("open", F.col("known").isNull()).drop("known")
 
 
 def _entries(sets: DataFrame) -> DataFrame:
     """A row for each token of a prefix; ``size`` holds n, and whether matches are asked for in its last bit."""
     asked = F.col("open").cast("int") if "open" in sets.columns else F.lit(1)
-    return sets.select(*_PLACE, "sketch", (F.col("n") * 2 + asked).alias("size"), F.posexplode("prefix").alias("at", "token"))
+    return sets.select("sid", "doc", "line", "sketch", (F.col("n") * 2 + asked).alias("size"), F.posexplode("prefix").alias("at", "token"))
 
 
 def _full_candidates(earlier: DataFrame, asked: DataFrame) -> DataFrame:
     """Pairs of entries with the same token, the one before the other, that can belong to similar sets."""
     a, b = (e.select(*[F.col(c).alias(f"{x}_{c}") for c in e.columns]) for x, e in (("a", earlier), ("b", asked)))
-    a, b = (e.withColumn(f"{x}_n", F.shiftright(f"{x}_size", 1)) for x, e in (("a", a), ("b", b)))
-    inside = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))  # tokens that can be shared from here on
-    near = _before("a", "b") & _possible("a", "b") & (inside * 9 >= (F.col("a_n") + F.col("b_n")) * 4)
-    # Behind coalesce no side gets filters of its own; so equal tables of entries are shuffled once.
+    n, m = (F.shiftright(f"{x}_size", 1) for x in "ab")
+    inside = F.least(n - F.col("a_at"), m - F.col("b_at"))  # tokens that can be shared from here on
+    near = _before("a", "b") & _possible("a", "b", n, m) & (inside * 9 >= (n + m) * 4)
+    # Behind coalesce no side gets filters of its own, and both need the same columns; so equal entries are shuffled once.
     wanted = F.coalesce(near & (F.col("b_size").bitwiseAND(F.lit(1)) == 1), F.lit(False))
     return a.join(b, (F.col("a_token") == F.col("b_token")) & wanted)
 
 
-def _verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The second sets of the candidates whose words are similar enough, by their first places."""
+def _verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The second sets (sid) of the candidates whose words are similar enough."""
     pairs = saved(candidates)
-    places = saved(
-        pairs.select(*[F.col(f"a_{c}").alias(c) for c in _PLACE]).union(pairs.select(*[f"b_{c}" for c in _PLACE])).distinct()
-    )
+    named = saved(pairs.select(F.col("a_sid").alias("sid")).union(pairs.select("b_sid")).distinct())
+    places = saved(sets.select("sid", *_PLACE).join(_small(named), "sid", "left_semi"))
     rows, wanted = places.select("doc", "hash").distinct(), places
     if places.count() <= BROADCAST_DOCUMENTS:
         rows, wanted = F.broadcast(rows), F.broadcast(wanted)
@@ -268,17 +272,18 @@ def _verified(docs: DataFrame, candidates: DataFrame) -> DataFrame:
         docs.join(rows, ["doc", "hash"], "left_semi")
         .select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("line", "own"))
         .join(wanted, _PLACE)
-        .dropDuplicates(_PLACE)
+        .select("sid", "own")
+        .dropDuplicates(["sid"])
     )
     # Lines travel as text, which shuffles compress, and are cut into words where they meet.
-    left, right = (found.select(*[F.col(c).alias(f"{x}_{c}") for c in (*_PLACE, "own")]) for x in "ab")
-    a, b = (F.array_distinct(_words(F.col(f"{x}_own"))) for x in "ab")
+    left, right = (found.select(F.col("sid").alias(f"{x}_sid"), F.col("own").alias(f"{x}_own")) for x in "ab")
+    a, b = (F.array_distinct(F.transform(_words(F.col(f"{x}_own")), _folded)) for x in "ab")
     return saved(
-        pairs.join(left, [f"a_{c}" for c in _PLACE])
-        .join(right, [f"b_{c}" for c in _PLACE])
-        .select(*[F.col(f"b_{c}").alias(c) for c in _PLACE], a.alias("a"), b.alias("b"))
-        .select(*_PLACE, F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("both"))
+        pairs.join(left, "a_sid")
+        .join(right, "b_sid")
+        .select(F.col("b_sid").alias("sid"), a.alias("a"), b.alias("b"))
+        .select("sid", F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("both"))
         .filter("shared * 9 >= both * 4")
-        .select(*_PLACE)
+        .select("sid")
         .distinct()
     )
