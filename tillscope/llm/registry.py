@@ -4,6 +4,7 @@ from . import queries_chats as chats
 from . import queries_duplicates as duplicates
 from . import queries_filters as filters
 from . import queries_models as models
+from . import queries_search as search
 from . import queries_tokens as tokens
 from . import queries_vectors as vectors
 
@@ -18,10 +19,12 @@ QUERIES = {
     "op8_line_dedup": duplicates.op8_line_dedup,
     "op9_quality": models.op9_quality,
     "op10_language": models.op10_language,
+    "op11_lexical_search": search.op11_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": chats.OP2_SQL,
     "op3_decontamination": filters.OP3_SQL,
     "op8_line_dedup": duplicates.OP8_SQL,
+    "op11_lexical_search": search.OP11_SQL,
 }
