@@ -6,6 +6,7 @@ from . import queries_filters as filters
 from . import queries_models as models
 from . import queries_search as search
 from . import queries_tokens as tokens
+from . import queries_trie as trie
 from . import queries_vectors as vectors
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op9_quality": models.op9_quality,
     "op10_language": models.op10_language,
     "op11_lexical_search": search.op11_lexical_search,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +29,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": filters.OP3_SQL,
     "op8_line_dedup": duplicates.OP8_SQL,
     "op11_lexical_search": search.OP11_SQL,
+    "op13_prefix_trie": trie.OP13_SQL,
 }
