@@ -59,5 +59,5 @@ def test_sql_of_the_queries(spark):
 
 def test_registry_names_each_operator_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run

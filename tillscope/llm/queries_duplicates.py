@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash
+from . import line_dedup, simhash, weighted_samples
 from .common import table
 
 SHINGLE_WORDS = 3
@@ -27,6 +27,19 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = weighted_samples.compared(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        weighted_samples.written("samples").alias("fingerprint"),
+        weighted_samples.written("edited_samples").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 OP8_SQL = r"""
     WITH lines AS (
         SELECT doc_id, text, generate_subscripts(own, 1) - 1 AS line, unnest(own) AS own

@@ -21,6 +21,7 @@ QUERIES = {
     "op9_quality": models.op9_quality,
     "op10_language": models.op10_language,
     "op11_lexical_search": search.op11_lexical_search,
+    "op12_fingerprints": duplicates.op12_fingerprints,
     "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
