@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tillscope.operators import (  # noqa: E402
     anomalies,
     customers,
+    lloyd,
     profiling,
     quality,
     quantiles,
@@ -125,14 +126,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "separated_choice": lambda s, d: segments.score_table(segments.segment(_separated(s, d)))
         .filter("chosen")
         .select("k"),
-        "k_selection": lambda s, d: segments.score_table(segments.segment(_metrics(s, d))),
-        "customer_clusters": lambda s, d: segments.segment(_metrics(s, d)).customers,
-        "cluster_centers": lambda s, d: segments.center_table(segments.segment(_metrics(s, d))),
-        "cluster_profile": lambda s, d: segments.cluster_profile(
-            segments.segment(_metrics(s, d)).customers
-        ),
-        "cluster_profile_detailed": lambda s, d: segments.cluster_profile(
-            segments.segment(_metrics(s, d)).customers, detailed=True
+        "k_selection": lambda s, d: _rounded(segments.score_table(_segments(s, d)), ["silhouette", "cost"], 6),
+        "customer_clusters": lambda s, d: _rounded(_segments(s, d).customers, "total_spending", 2),
+        "cluster_centers": lambda s, d: _rounded(
+            segments.center_table(_segments(s, d)), [f"{x}center_{c}" for x in ("", "scaled_") for c in METRICS], 4
+        ),
+        "cluster_profile": lambda s, d: _rounded(segments.cluster_profile(_segments(s, d).customers), "sum_spending", 2),
+        "cluster_profile_detailed": lambda s, d: _rounded(
+            _rounded(segments.cluster_profile(_segments(s, d).customers, detailed=True), "sum_spending", 2),
+            ["avg_orders", "avg_spending", "avg_products"],
+            4,
         ),
         # trends
         "monthly_orders": lambda s, d: trends.monthly_orders(sales(s, d)),
@@ -207,6 +210,10 @@ def _metrics(spark: SparkSession, directory: str) -> DataFrame:
     return customers.customer_metrics(sales(spark, directory))
 
 
+def _segments(spark: SparkSession, directory: str) -> segments.Segmentation:
+    return lloyd.segment(_metrics(spark, directory))
+
+
 def _separated(spark: SparkSession, directory: str) -> DataFrame:
     """Metrics moved apart by the customer number, so that three groups are the only good clustering."""
     group = F.substring_index("customer_id", "_", -1).cast("int") % 3
@@ -583,7 +590,23 @@ def _own_sql() -> dict[str, str]:
             "round(avg(total_spending), 2) AS center_total_spending, "
             f"round(avg(unique_products), 2) AS center_unique_products FROM ({_SEPARATED}) GROUP BY prediction"
         ),
-        "separated_choice": "SELECT CAST(3 AS INTEGER) AS k",
+        "separated_choice": _on_clusters("SELECT k FROM chosen", _SEPARATED),
+        "k_selection": _on_clusters(
+            "SELECT s.k, round(s.silhouette, 6) AS silhouette, round(s.cost, 6) AS cost, s.k = c.k AS chosen FROM scores s, chosen c"
+        ),
+        "customer_clusters": _on_clusters(
+            "SELECT customer_id, total_orders, round(total_spending, 2) AS total_spending, unique_products, prediction FROM labelled"
+        ),
+        "cluster_centers": _on_clusters(
+            "SELECT CAST(label AS INTEGER) AS prediction, "
+            + ", ".join(
+                f"round((m{i} + d{i} * ({v} / 65536.0::DOUBLE)) / 100, 4) AS center_{c}, round({v} / 65536.0::DOUBLE, 4) AS scaled_center_{c}"
+                for i, (v, c) in enumerate(zip("xyz", METRICS))
+            )
+            + " FROM final JOIN chosen USING (k), moments"
+        ),
+        "cluster_profile": _on_clusters(profile.format(more="")),
+        "cluster_profile_detailed": _on_clusters(profile.format(more=averages)),
         "scaled_metrics": _on_metrics(
             "SELECT customer_id, "
             + ", ".join(
@@ -665,6 +688,71 @@ _SEPARATED = (
     "FROM (SELECT *, CAST(split_part(customer_id, '_', 2) AS INTEGER) % 3 AS g FROM metrics)"
 )
 
+# K-means of whole numbers for all cluster counts at once; nothing here depends on the order of additions.
+_CLUSTERS = """
+    WITH RECURSIVE tx AS ({sales}), metrics AS ({metrics}), used AS ({used}), raw AS (
+        SELECT customer_id, total_orders, total_spending, unique_products, CAST(round(total_orders::DOUBLE * 100) AS BIGINT) AS r0,
+               CAST(round(total_spending * 100) AS BIGINT) AS r1, CAST(round(unique_products::DOUBLE * 100) AS BIGINT) AS r2
+        FROM used
+    ), totals AS (
+        SELECT CAST(count(*) AS HUGEINT) AS n, sum(r0) AS s0, sum(r1) AS s1, sum(r2) AS s2, sum(r0::HUGEINT * r0) AS q0,
+               sum(r1::HUGEINT * r1) AS q1, sum(r2::HUGEINT * r2) AS q2
+        FROM raw
+    ), moments AS (
+        SELECT s0::DOUBLE / n::DOUBLE AS m0, s1::DOUBLE / n::DOUBLE AS m1, s2::DOUBLE / n::DOUBLE AS m2,
+               sqrt((n * q0 - s0 * s0)::DOUBLE / (n * (n - 1))::DOUBLE) AS d0,
+               sqrt((n * q1 - s1 * s1)::DOUBLE / (n * (n - 1))::DOUBLE) AS d1,
+               sqrt((n * q2 - s2 * s2)::DOUBLE / (n * (n - 1))::DOUBLE) AS d2
+        FROM totals
+    ), points AS (
+        SELECT raw.*, CAST(floor((r0 - m0) / d0 * 65536 + 0.5) AS BIGINT) AS p, CAST(floor((r1 - m1) / d1 * 65536 + 0.5) AS BIGINT) AS q,
+               CAST(floor((r2 - m2) / d2 * 65536 + 0.5) AS BIGINT) AS r
+        FROM raw, moments
+    ), seeds AS (
+        SELECT p, q, r, row_number() OVER (ORDER BY digest) - 1 AS c
+        FROM (SELECT p, q, r, min(md5(customer_id)) AS digest FROM points GROUP BY p, q, r)
+    ), steps AS (
+        SELECT 0 AS step, k, c, p AS x, q AS y, r AS z FROM seeds, (SELECT unnest([2, 3, 4, 5]) AS k) WHERE c < k
+        UNION ALL
+        SELECT step + 1, k, c, coalesce(CAST(floor(sum(p) FILTER (WHERE c = near)::DOUBLE / (count(*) FILTER (WHERE c = near)) + 0.5) AS BIGINT), x),
+               coalesce(CAST(floor(sum(q) FILTER (WHERE c = near)::DOUBLE / (count(*) FILTER (WHERE c = near)) + 0.5) AS BIGINT), y),
+               coalesce(CAST(floor(sum(r) FILTER (WHERE c = near)::DOUBLE / (count(*) FILTER (WHERE c = near)) + 0.5) AS BIGINT), z)
+        FROM (
+            SELECT s.*, p, q, r, arg_min(c, ((p - x) * (p - x) + (q - y) * (q - y) + (r - z) * (r - z)) * 8 + c) OVER (PARTITION BY k, customer_id) AS near
+            FROM steps s, points WHERE step < 20
+        ) GROUP BY step, k, c, x, y, z
+    ), final AS (
+        SELECT k, x, y, z, row_number() OVER (PARTITION BY k ORDER BY y, x, z) - 1 AS label FROM steps WHERE step = 20
+    ), near AS (
+        SELECT k, customer_id, p, q, r, min(d) AS distance, arg_min(label, d * 8 + label) AS label
+        FROM (SELECT *, (p - x) * (p - x) + (q - y) * (q - y) + (r - z) * (r - z) AS d FROM final, points)
+        GROUP BY k, customer_id, p, q, r
+    ), sums AS (
+        SELECT k, label, count(*) AS n, sum(p) AS sp, sum(q) AS sq, sum(r) AS sr, sum(p * p + q * q + r * r) AS ss FROM near GROUP BY k, label
+    ), sides AS (
+        SELECT a.k, a.customer_id, any_value(distance) AS distance, max(n) FILTER (WHERE a.label = s.label) AS n,
+               max(total / (n - 1)) FILTER (WHERE a.label = s.label AND n > 1) AS inside, min(total / n) FILTER (WHERE a.label <> s.label) AS outside
+        FROM near a JOIN (SELECT * FROM sums) s ON a.k = s.k,
+             LATERAL (SELECT s.ss::DOUBLE + s.n::DOUBLE * (a.p::DOUBLE * a.p + a.q::DOUBLE * a.q + a.r::DOUBLE * a.r)
+                             - 2 * (a.p::DOUBLE * s.sp::DOUBLE + a.q::DOUBLE * s.sq::DOUBLE + a.r::DOUBLE * s.sr::DOUBLE) AS total)
+        GROUP BY a.k, a.customer_id
+    ), scores AS (
+        SELECT CAST(k AS INTEGER) AS k, avg(CASE WHEN inside IS NULL OR inside = outside THEN 0 WHEN inside < outside THEN 1 - inside / outside ELSE outside / inside - 1 END) AS silhouette,
+               sum(distance)::DOUBLE / 4294967296 AS cost
+        FROM sides GROUP BY k
+    ), chosen AS (
+        SELECT k FROM scores ORDER BY round(silhouette, 9) DESC, k LIMIT 1
+    ), labelled AS (
+        SELECT customer_id, total_orders, total_spending, unique_products, CAST(label AS INTEGER) AS prediction
+        FROM near JOIN chosen USING (k) JOIN used USING (customer_id)
+    )
+"""
+
+
+def _on_clusters(body: str, used: str = "SELECT * FROM metrics") -> str:
+    return _CLUSTERS.format(sales=_SALES, metrics=_METRICS_OF.format(source="tx"), used=used) + body
+
+
 # Sum of squared distances from a point to a cluster, from the cluster's count and sums.
 _SILHOUETTE = """
     WITH points AS (

@@ -6,8 +6,8 @@ import __spark_entry__ as registry
 from tests.oracle import connect, duckdb_types, normalized
 
 DIRECTORY = "/root/testdata/sf0.01"
-QUERIES = registry.queries()
-SQL = registry.oracle_sql()
+QUERIES = registry._own_queries()
+SQL = registry._own_sql()
 
 
 @pytest.fixture(scope="module")
