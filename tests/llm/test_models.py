@@ -61,8 +61,30 @@ def nearest(rows, k=20):
     return out
 
 
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_table(spark, folder):
+    folder = f"/root/testdata/{folder}"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    exact = {(q, i): s for q, top in nearest(rows).items() for i, s in top}
+    got = {(r.query_id, r.vec_id): r.score for r in queries_vectors.op5_nearest_neighbours(spark, folder).collect()}
+    assert len(got) == len(exact)
+    assert len(exact.keys() & got.keys()) / len(exact) >= 0.9
+
+
+def test_recall_of_vectors_of_varying_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, (rng.normal(size=12) * np.exp(rng.normal())).tolist()) for k in range(4000)]
+    vectors = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    from pyspark.sql import functions as F
+
+    router, exact = neighbours.fit(vectors), {(q, i) for q, top in nearest(rows).items() for i, _ in top}
+    got = {(r.query_id, r.id) for r in neighbours.search(vectors, F.col("id") % 20 == 0, router).collect()}
+    assert len(exact & got) / len(exact) >= 0.9
+    whole = {(r.query_id, r.id) for r in neighbours.search(vectors, F.col("id") % 20 == 0, router, probes=len(router.bias)).collect()}
+    assert whole == exact
+
+
 def test_recall_against_brute_force(spark):
-    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(40, 16))
     rows = [(k, (centres[k % 40] + 0.6 * rng.normal(size=16)).tolist()) for k in range(6000)]
