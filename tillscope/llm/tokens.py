@@ -97,7 +97,7 @@ class Vocabulary:
 class Codec:
     """Encodes batches of UTF-8 texts, for a byte-level tokenizer."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 100_000):
         """Beyond ``remembered`` pieces only those used lately stay in memory, which changes no result."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
