@@ -58,7 +58,7 @@ def segment(
     scores = _scores(points, centers)
     best = max(scores, key=lambda s: s.silhouette)  # the first of equal ones
     chosen = centers[best.k]
-    customers = points.select("customer_id", *columns, _nearest(chosen)["label"].alias(LABEL))
+    customers = _labelled(points, {best.k: chosen}).select("customer_id", *columns, F.col("near")[0]["near"]["label"].alias(LABEL))
     scaled = [[v / UNIT for v in c] for c in chosen]
     plain = [[(m + d * v) / 10**digits for m, d, v in zip(mean, deviation, c)] for c in scaled]
     return Segmentation(SCALED, metrics, customers, best.k, scores, plain, scaled)
@@ -88,37 +88,43 @@ def _first_centers(points: DataFrame, n: int) -> list[tuple[int, ...]]:
     return [tuple(r.point) for r in rows]
 
 
-def _nearest(centers: list[tuple[int, ...]]) -> Column:
-    """distance (squared) and label of the nearest centre, of equally near ones the first."""
+def _flat(points: DataFrame, centers: Centers) -> Column:
+    """All centres as one array. A subquery, and not literals, so that the steps share their compiled code."""
+    values = [v for own in centers.values() for c in own for v in c]
+    return points.sparkSession.range(0, 1, 1, 1).select(F.expr(f"array({', '.join(f'{v}L' for v in values)})").alias("c")).scalar()
 
-    def distance(center: tuple[int, ...]) -> Column:
-        total = F.lit(0).cast("long")
-        for i, v in enumerate(center):
-            d = F.col("point")[i] - F.lit(v).cast("long")
-            total = total + d * d
-        return total
 
-    return F.array_min(F.array(*[F.struct(distance(c).alias("distance"), F.lit(k).alias("label")) for k, c in enumerate(centers)]))
+def _nearest(first: int, k: int, n: int) -> str:
+    """SQL: distance (squared) and label of the nearest of k centres of n features, of equally near ones the first."""
+
+    def distance(label: int) -> str:
+        return " + ".join(f"(point[{i}] - centers[{c}]) * (point[{i}] - centers[{c}])" for i, c in enumerate(range(first + label * n, first + label * n + n)))
+
+    return "array_min(array(" + ", ".join(f"named_struct('distance', {distance(j)}, 'label', {j})" for j in range(k)) + "))"
 
 
 def _labelled(points: DataFrame, centers: Centers) -> DataFrame:
-    """A row for each point and clustering: k, label, distance and point."""
-    each = F.array(*[F.struct(F.lit(k).alias("k"), _nearest(c).alias("near")) for k, c in centers.items()])
-    return points.select("point", F.explode(each).alias("x")).select("point", "x.k", "x.near.label", "x.near.distance")
+    """The points with ``near``: for each clustering k, label and distance of the nearest centre."""
+    first, each = 0, []
+    for k, own in centers.items():
+        n = len(own[0])
+        each.append(f"named_struct('k', {k}, 'near', {_nearest(first, len(own), n)})")
+        first += len(own) * n
+    return points.withColumn("centers", _flat(points, centers)).withColumn("near", F.expr(f"array({', '.join(each)})")).drop("centers")
 
 
-def _sums(points: DataFrame, centers: Centers) -> dict[tuple[int, int], tuple]:
-    """Of each clustering and label: rows, sums of features, sum of squared lengths, sum of distances."""
+def _sums(points: DataFrame, centers: Centers, *more: str) -> dict[tuple[int, int], tuple]:
+    """Of each clustering and label: rows, sums of features, and what else is asked for."""
     n = len(next(iter(centers.values()))[0])
-    of = [F.col("point")[i] for i in range(n)]
-    square = sum((v.cast("decimal(19,0)") * v.cast("decimal(19,0)") for v in of[1:]), of[0].cast("decimal(19,0)") * of[0].cast("decimal(19,0)"))
     rows = (
         _labelled(points, centers)
+        .selectExpr("point", "explode(near) AS x")
+        .selectExpr("x.k", "x.near.label", "x.near.distance", *[f"point[{i}] AS p{i}" for i in range(n)])
         .groupBy("k", "label")
-        .agg(F.count(F.lit(1)), *[F.sum(v.cast("decimal(19,0)")) for v in of], F.sum(square), F.sum(F.col("distance").cast("decimal(19,0)")))
+        .agg(F.count(F.lit(1)), *[F.sum(f"p{i}") for i in range(n)], *[F.expr(e) for e in more])
         .collect()  # a row for each centre
     )
-    return {(r[0], r[1]): (r[2], [int(v) for v in r[3 : n + 3]], int(r[n + 3]), int(r[n + 4])) for r in rows}
+    return {(r[0], r[1]): (r[2], list(r[3 : n + 3]), *map(int, r[n + 3 :])) for r in rows}
 
 
 def _step(points: DataFrame, centers: Centers) -> Centers:
@@ -132,8 +138,10 @@ def _step(points: DataFrame, centers: Centers) -> Centers:
 
 def _scores(points: DataFrame, centers: Centers) -> list[Score]:
     """Mean silhouette under squared Euclidean distance, and cost, of every clustering."""
-    sums = _sums(points, centers)
-    length = sum((F.col("point")[i].cast("double") * F.col("point")[i].cast("double") for i in range(1, len(centers[min(centers)][0]))), F.col("point")[0].cast("double") * F.col("point")[0].cast("double"))
+    n = len(centers[min(centers)][0])
+    square = " + ".join(f"CAST(p{i} AS decimal(19,0)) * CAST(p{i} AS decimal(19,0))" for i in range(n))
+    sums = _sums(points, centers, f"sum({square})", "sum(CAST(distance AS decimal(19,0)))")
+    length = sum((F.col("point")[i].cast("double") * F.col("point")[i].cast("double") for i in range(1, n)), F.col("point")[0].cast("double") * F.col("point")[0].cast("double"))
 
     def total(s: tuple) -> Column:
         """Of the squared distances from a point to all points of a cluster."""
@@ -141,14 +149,14 @@ def _scores(points: DataFrame, centers: Centers) -> list[Score]:
         return F.lit(float(s[2])) + float(s[0]) * length - 2.0 * product
 
     shares = []
-    for k, own in centers.items():
+    for place, (k, own) in enumerate(centers.items()):
         known = {j: sums[k, j] for j in range(len(own)) if (k, j) in sums}
-        label = _nearest(own)["label"]
+        label = F.col("near")[place]["near"]["label"]
         inner = F.coalesce(*[F.when((label == j) & F.lit(s[0] > 1), total(s) / float(max(1, s[0] - 1))) for j, s in known.items()])
         outer = F.array_min(F.array(*[F.when(label != j, total(s) / float(s[0])) for j, s in known.items()]))
         share = F.when(inner.isNull() | (inner == outer), 0.0).when(inner < outer, 1 - inner / outer).otherwise(outer / inner - 1)
         shares.append(F.sum(F.round(share * float(_SHARE)).cast("decimal(19,0)")).alias(f"s{k}"))
-    row = points.agg(F.count(F.lit(1)).alias("n"), *shares).first()
+    row = _labelled(points, centers).agg(F.count(F.lit(1)).alias("n"), *shares).first()
     return [
         Score(k, int(row[f"s{k}"]) / row.n / _SHARE, sum(s[3] for (q, _), s in sums.items() if q == k) / UNIT**2) for k in sorted(centers)
     ]
