@@ -18,11 +18,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tillscope.operators import (  # noqa: E402
     anomalies,
     customers,
+    exact,
     lloyd,
     profiling,
     quality,
     quantiles,
     segments,
+    sketches,
     spending,
     trends,
 )
@@ -45,6 +47,7 @@ except ModuleNotFoundError as e:
 SMALL_REACH = 0.2  # IQR multiplier that gives the event amounts a low side
 METRIC_TYPES = {"total_orders": "bigint", "total_spending": "double", "unique_products": "bigint"}
 APART = {"total_orders": 100_000, "total_spending": 1e9, "unique_products": 100_000}
+SKETCH_ACCURACY = 500
 QUANTILES = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
@@ -194,6 +197,17 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "anomaly_export_zscore": lambda s, d: _rounded(_export(s, d, "zscore"), "zscore", 6),
         "anomaly_export_iqr": lambda s, d: _round_bounds(_export(s, d, "iqr")),
         "anomaly_export_median": lambda s, d: _rounded(_export(s, d, "median"), "threshold", 6),
+        # stored summaries and exact sums
+        "daily_amount_sketches": lambda s, d: sketches.amount_sketches(event_amounts(s, d), ["transaction_date"]).select(
+            "transaction_date", "n", sketches.quantile(0).alias("low"), sketches.quantile(1).alias("high")
+        ),
+        "sketched_quantiles": _sketched_quantiles,
+        "merged_customer_products": _merged_customer_products,
+        "weekly_spending_exact": lambda s, d: _plain_decimals(exact.weekly(sales(s, d)), "weekly_spending"),
+        "amount_moments_exact": lambda s, d: exact.moments(
+            exact.added(exact.power_sums(event_amounts(s, d), ["transaction_date"]))
+        ),
+        "customer_moments_exact": lambda s, d: exact.moments(exact.power_sums(sales(s, d), ["customer_id"]), ["customer_id"]),
     }
 
 
@@ -284,6 +298,33 @@ def _narrowed_quantiles(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def _sketched_quantiles(spark: SparkSession, directory: str) -> DataFrame:
+    """Quantiles of days' sketches, between the exact values as far below and above as the accuracy allows."""
+    amounts = event_amounts(spark, directory)
+    whole = sketches.merged(sketches.amount_sketches(amounts, ["transaction_date"], accuracy=SKETCH_ACCURACY))
+    reach = 1 / SKETCH_ACCURACY
+    ends = {p: (round(p - reach, 9), round(p + reach, 9)) for p in QUANTILES}
+    known = quantiles.quantiles(amounts, ["total_amount"], sorted({e for pair in ends.values() for e in pair}))["total_amount"]
+    rows = spark.createDataFrame([(p, known[a], known[b]) for p, (a, b) in ends.items()], "probability double, low double, high double")
+    found = whole.select("n", F.explode(F.array(*[F.struct(F.lit(p).alias("probability"), sketches.quantile(p).alias("value")) for p in QUANTILES])))
+    return found.select("n", "col.*").join(rows, "probability").select("probability", "n", "low", "high", F.col("value").between(F.col("low"), F.col("high")).alias("inside"))
+
+
+def _merged_customer_products(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders from stored months, and whether the merged distinct count is within four standard errors of the exact one."""
+    rows = sales(spark, directory)
+    totals = sketches.customer_totals(sketches.customer_periods(rows, F.trunc("transaction_date", "month")))
+    known = customers.customer_metrics(rows).select("customer_id", F.col("unique_products").alias("known"))
+    allowed = F.col("known") * F.lit(4 * sketches.distinct_error())
+    near = F.abs(F.col("unique_products") - F.col("known")) <= allowed
+    return totals.join(known, "customer_id").select("customer_id", "total_orders", F.col("known").alias("unique_products"), near.alias("near"))
+
+
+def _plain_decimals(df: DataFrame, column: str) -> DataFrame:
+    """Whole cents: decimals of engines differ in precision."""
+    return df.withColumn(column, (F.col(column) * 100).cast("bigint"))
+
+
 def _export(spark: SparkSession, directory: str, method: str) -> DataFrame:
     return anomalies.export_columns(anomalies.detect(event_amounts(spark, directory), method))
 
@@ -679,9 +720,43 @@ def _own_sql() -> dict[str, str]:
         "anomaly_export_median": _on_events(
             f"SELECT {_TEN}, round(threshold, 6) AS threshold FROM med"
         ),
+        "daily_amount_sketches": f"SELECT transaction_date, count(total_amount) AS n, min(total_amount) AS low, "
+        f"max(total_amount) AS high FROM ({_EVENTS}) GROUP BY transaction_date",
+        "sketched_quantiles": " UNION ALL ".join(
+            f"SELECT {p}::DOUBLE AS probability, count(total_amount) AS n, "
+            f"quantile_disc(total_amount, {round(p - 1 / SKETCH_ACCURACY, 9)}) AS low, "
+            f"quantile_disc(total_amount, {round(p + 1 / SKETCH_ACCURACY, 9)}) AS high, TRUE AS inside FROM ({_EVENTS})"
+            for p in QUANTILES
+        ),
+        "merged_customer_products": f"SELECT customer_id, count(transaction_id) AS total_orders, "
+        f"count(DISTINCT product_id) AS unique_products, TRUE AS near FROM ({_SALES}) GROUP BY customer_id",
+        "weekly_spending_exact": f"SELECT customer_id, CAST(year(transaction_date) AS INTEGER) AS year, "
+        f"CAST(week(transaction_date) AS INTEGER) AS week, CAST(sum(CAST(total_amount AS DECIMAL(18, 2))) * 100 AS BIGINT) "
+        f"AS weekly_spending FROM ({_SALES}) GROUP BY 1, 2, 3",
+        "amount_moments_exact": _exact_moments(_EVENTS),
+        "customer_moments_exact": _exact_moments(_SALES, "customer_id"),
     }
 
 
+def _exact_moments(rows: str, by: str = "") -> str:
+    """Mean and deviation by whole numbers of cents, around the whole number next to the mean."""
+    key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return f"""
+        WITH cents AS (
+            SELECT {key}CAST(CAST(total_amount AS DECIMAL(18, 2)) * 100 AS HUGEINT) AS u FROM ({rows})
+        ), sums AS (
+            SELECT {key}count(u) AS n, CAST(sum(u) AS HUGEINT) AS s, CAST(sum(u * u) AS HUGEINT) AS q FROM cents {group}
+        ), centred AS (
+            SELECT *, s // n AS base, (s - (s // n) * n)::DOUBLE AS rest,
+                   (q - (s // n) * (2 * s - (s // n) * n))::DOUBLE AS around
+            FROM sums
+        )
+        SELECT {key}n, (base::DOUBLE + rest / n::DOUBLE) / 100 AS mean,
+               CASE WHEN n > 1 THEN sqrt((around - rest * rest / n::DOUBLE) / (n::DOUBLE - 1)) / 100 END AS stddev
+        FROM centred
+    """
+
+
 _SEPARATED = (
     "SELECT customer_id, total_orders + g * 100000 AS total_orders, total_spending + g * 1e9 AS total_spending, "
     "unique_products + g * 100000 AS unique_products, g AS prediction "

@@ -2,7 +2,8 @@
 
 Mean and deviation enter the plan as one-row scalar subqueries, with no join and no job of their own.
 Quartiles take a few passes, so finding them runs jobs (see ``quantiles``); the bounds are then constants
-that Spark pushes down to the file scan.
+that Spark pushes down to the file scan. With ``accuracy`` they come from sketches, in one scan, and their ranks are within
+``1 / accuracy`` of those of the exact ones (see ``sketches``, also for what is left out).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.lenient import is_finite
+from tillscope.operators import sketches
 from tillscope.operators.quantiles import quantiles
 from tillscope.schema import COLUMNS
 
@@ -53,14 +55,19 @@ class Quartiles:
         return _constant(None if self.median is None else self.median * multiplier)
 
 
-def quartiles(df: DataFrame, amount: str = AMOUNT) -> Quartiles:
-    found = quantiles(df, [amount], [0.25, 0.5, 0.75])[amount]
-    return Quartiles(*found.values())
+def quartiles(df: DataFrame, amount: str = AMOUNT, accuracy: int | None = None) -> Quartiles:
+    return Quartiles(*_quantiles(df, amount, [0.25, 0.5, 0.75], accuracy).values())
 
 
-def median(df: DataFrame, amount: str = AMOUNT) -> Quartiles:
+def median(df: DataFrame, amount: str = AMOUNT, accuracy: int | None = None) -> Quartiles:
     """Like ``quartiles``, with the median only."""
-    return Quartiles(None, quantiles(df, [amount], [0.5])[amount][0.5], None)
+    return Quartiles(None, _quantiles(df, amount, [0.5], accuracy)[0.5], None)
+
+
+def _quantiles(df: DataFrame, amount: str, probabilities: list[float], accuracy: int | None) -> dict[float, float | None]:
+    if accuracy is None:
+        return quantiles(df, [amount], probabilities)[amount]
+    return sketches.quantiles(df, amount, probabilities, accuracy)
 
 
 def zscores(df: DataFrame, amount: str = AMOUNT) -> DataFrame:
@@ -79,9 +86,10 @@ def by_iqr(
     df: DataFrame,
     multiplier: float = DEFAULTS["iqr"],
     amount: str = AMOUNT,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Rows strictly outside the quartile bounds."""
-    lower, upper = quartiles(df, amount).bounds(multiplier)
+    lower, upper = quartiles(df, amount, accuracy).bounds(multiplier)
     outside = (F.col(amount) < lower) | (F.col(amount) > upper)
     return df.filter(outside).withColumns(
         {"is_anomaly": F.lit(True), "lower_bound": lower, "upper_bound": upper}
@@ -100,9 +108,10 @@ def by_median(
     df: DataFrame,
     multiplier: float = DEFAULTS["median"],
     amount: str = AMOUNT,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Rows above ``multiplier`` times the median."""
-    threshold = median(df, amount).limit(multiplier)
+    threshold = median(df, amount, accuracy).limit(multiplier)
     return df.filter(F.col(amount) > threshold).withColumns(
         {"threshold": threshold, "is_anomaly": F.lit(True)}
     )
@@ -115,15 +124,16 @@ def detect(
     threshold: float | None = None,
     multiplier: float | None = None,
     amount: str = AMOUNT,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Anomalies by the named method, with that method's own default threshold."""
+    """Anomalies by the named method, with that method's own default threshold; ``accuracy`` is for quantiles only."""
     if method == "zscore":
         return by_zscore(df, DEFAULTS["zscore"] if threshold is None else threshold, amount)
     if method not in DEFAULTS:
         raise ValueError(f"method must be one of {tuple(DEFAULTS)}, got {method!r}")
     factor = DEFAULTS[method] if multiplier is None else multiplier
     detector = by_iqr if method == "iqr" else by_median
-    return detector(df, factor, amount)
+    return detector(df, factor, amount, accuracy)
 
 
 def counts(
