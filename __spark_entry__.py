@@ -20,6 +20,7 @@ from tillscope.operators import (  # noqa: E402
     customers,
     exact,
     lloyd,
+    ordering,
     profiling,
     quality,
     quantiles,
@@ -28,7 +29,8 @@ from tillscope.operators import (  # noqa: E402
     spending,
     trends,
 )
-from tillscope.schema import METRICS  # noqa: E402
+from tillscope import plans, sinks  # noqa: E402
+from tillscope.schema import COLUMNS, METRICS  # noqa: E402
 from tillscope.sources.star import (  # noqa: E402
     damaged_transactions,
     event_amounts,
@@ -208,6 +210,15 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             exact.added(exact.power_sums(event_amounts(s, d), ["transaction_date"]))
         ),
         "customer_moments_exact": lambda s, d: exact.moments(exact.power_sums(sales(s, d), ["customer_id"]), ["customer_id"]),
+        # written results, read back
+        "written_clean_rows": lambda s, d: sinks.read_clean(s, _written_split(s, d)),
+        "written_rejected_rows": lambda s, d: sinks.read_rejected(s, _written_split(s, d)).select(*COLUMNS),
+        "written_weekly_spending": lambda s, d: _rounded(
+            plans.analyze_weekly_spending(sales(s, d), sinks.new_folder(s), ordered=True).weekly, "weekly_spending", 2
+        ),
+        "written_declining_customers": lambda s, d: plans.analyze_declining_customers(sales(s, d), sinks.new_folder(s)),
+        "published_weekly_spending": _published_weekly,
+        "ordered_outputs": _ordered_outputs,
     }
 
 
@@ -320,6 +331,39 @@ def _merged_customer_products(spark: SparkSession, directory: str) -> DataFrame:
     return totals.join(known, "customer_id").select("customer_id", "total_orders", F.col("known").alias("unique_products"), near.alias("near"))
 
 
+def _written_split(spark: SparkSession, directory: str) -> str:
+    path = sinks.new_folder(spark)
+    sinks.write_validated(_flagged(spark, directory), path)
+    return path
+
+
+def _published_weekly(spark: SparkSession, directory: str) -> DataFrame:
+    """Years published with sums of doubled amounts, then each second year anew, then the others, with the right ones."""
+    path, rows = sinks.new_folder(spark), sales(spark, directory)
+    even = F.year("transaction_date") % 2 == 0
+    doubled = rows.withColumn("total_amount", F.col("total_amount") * 2)
+    for some in (doubled, rows.filter(even), rows.filter(~even)):
+        sinks.publish(spending.weekly(some), path, "year")
+    return _rounded(sinks.read_published(spark, path), "weekly_spending", 2)
+
+
+def _ordered_outputs(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows and inversions of every result that is written in order."""
+    rows, found = sales(spark, directory), None
+    weeks = spending.weekly(rows)
+    for name, df, order in (
+        ("weekly", weeks.orderBy("customer_id", "year", "week"), ["customer_id", "year", "week"]),
+        ("histogram", spending.activity_histogram(spending.active_weeks(weeks), ordered=True), ["weeks_with_transactions"]),
+        ("declining", trends.report(trends.declining(rows), ordered=True), ["customer_id"]),
+        ("declining_sql", trends.declining_sql(rows, ordered=True), ["customer_id"]),
+        ("profile", segments.cluster_profile(_labelled(spark, directory), ordered=True), [segments.LABEL]),
+    ):
+        checked = ordering.inversions(sinks.store(df, sinks.new_folder(spark)), order)
+        checked = checked.select(F.lit(name).alias("output"), "rows", "inversions")
+        found = checked if found is None else found.union(checked)
+    return found
+
+
 def _plain_decimals(df: DataFrame, column: str) -> DataFrame:
     """Whole cents: decimals of engines differ in precision."""
     return df.withColumn(column, (F.col(column) * 100).cast("bigint"))
@@ -526,6 +570,28 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _own_sql() -> dict[str, str]:
+    computed = _computed_sql()
+    same = {
+        "written_clean_rows": "repaired_totals",
+        "written_weekly_spending": "weekly_spending",
+        "written_declining_customers": "declining_customers_saved",
+        "published_weekly_spending": "weekly_spending",
+    }
+    ordered = {
+        "weekly": "weekly_spending",
+        "histogram": "activity_histogram",
+        "declining": "declining_customers_df",
+        "declining_sql": "declining_customers_sql",
+        "profile": "cluster_profile_fixed_labels",
+    }
+    counts = [f"SELECT '{o}' AS output, count(*) AS rows, 0::BIGINT AS inversions FROM ({computed[q]})" for o, q in ordered.items()]
+    return computed | {name: computed[q] for name, q in same.items()} | {
+        "written_rejected_rows": _on_damaged(f"SELECT {_TEN} FROM flagged WHERE coalesce(broken, true)"),
+        "ordered_outputs": " UNION ALL ".join(counts),
+    }
+
+
+def _computed_sql() -> dict[str, str]:
     kept = "SELECT * EXCLUDE (broken) FROM flagged WHERE "
     metrics_rounded = (
         "SELECT customer_id, total_orders, round(total_spending, 2) AS total_spending, "

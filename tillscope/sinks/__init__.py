@@ -1,4 +1,4 @@
-from tillscope.sinks.checkpoints import cut_lineage
+from tillscope.sinks.checkpoints import cut_lineage, new_folder
 from tillscope.sinks.publishing import publish, read_published, superseded
 from tillscope.sinks.tables import (
     read_clean,
@@ -8,4 +8,4 @@ from tillscope.sinks.tables import (
     write_validated,
 )
 
-__all__ = ["cut_lineage", "publish", "read_clean", "read_published", "read_rejected", "store", "superseded", "write_table", "write_validated"]
+__all__ = ["cut_lineage", "new_folder", "publish", "read_clean", "read_published", "read_rejected", "store", "superseded", "write_table", "write_validated"]
