@@ -219,6 +219,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "written_declining_customers": lambda s, d: plans.analyze_declining_customers(sales(s, d), sinks.new_folder(s)),
         "published_weekly_spending": _published_weekly,
         "ordered_outputs": _ordered_outputs,
+        "incremental_clean_rows": lambda s, d: plans.all_clean(s, _taken_in_steps(s, d)),
+        "incremental_summary": lambda s, d: plans.summary(s, _taken_in_steps(s, d)),
     }
 
 
@@ -337,6 +339,16 @@ def _written_split(spark: SparkSession, directory: str) -> str:
     return path
 
 
+def _taken_in_steps(spark: SparkSession, directory: str) -> str:
+    """Raw files that come in two lots, each validated when it is there."""
+    raw, output, rows = sinks.new_folder(spark), sinks.new_folder(spark), damaged_transactions(spark, directory)
+    first = F.crc32(F.col("transaction_id").cast("binary")) % 2 == 0
+    for some in (first, ~first):
+        sinks.write_table(rows.filter(some).select(*COLUMNS), raw, "csv", mode="append")
+        plans.preprocess_new(spark, f"{raw}/*.csv", output)
+    return output
+
+
 def _published_weekly(spark: SparkSession, directory: str) -> DataFrame:
     """Years published with sums of doubled amounts, then each second year anew, then the others, with the right ones."""
     path, rows = sinks.new_folder(spark), sales(spark, directory)
@@ -584,10 +596,21 @@ def _own_sql() -> dict[str, str]:
         "declining_sql": "declining_customers_sql",
         "profile": "cluster_profile_fixed_labels",
     }
+    broken = " OR ".join(f"coalesce({c}, false)" for rule, c in _BROKEN.items() if rule != "wrong_customer")
     counts = [f"SELECT '{o}' AS output, count(*) AS rows, 0::BIGINT AS inversions FROM ({computed[q]})" for o, q in ordered.items()]
     return computed | {name: computed[q] for name, q in same.items()} | {
         "written_rejected_rows": _on_damaged(f"SELECT {_TEN} FROM flagged WHERE coalesce(broken, true)"),
         "ordered_outputs": " UNION ALL ".join(counts),
+        "incremental_clean_rows": _with(
+            "SELECT * REPLACE (CASE WHEN total_amount IS NULL OR total_amount <> quantity * unit_price "
+            f"THEN quantity * unit_price ELSE total_amount END AS total_amount) FROM (SELECT {_TYPED_COLUMNS} FROM d WHERE NOT ({broken}))",
+            d=_DAMAGED,
+        ),
+        "incremental_summary": _with(
+            f"SELECT count(*) FILTER (NOT ({broken})) AS clean_rows, count(*) FILTER ({broken}) AS error_rows, "
+            f"count(*) AS total_rows, count(*) FILTER ({broken}) / count(*) * 100 AS error_rate_pct FROM d",
+            d=_DAMAGED,
+        ),
     }
 
 

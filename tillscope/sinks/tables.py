@@ -78,14 +78,14 @@ def write_validated(flagged: DataFrame, path: str, fmt: str = "parquet") -> None
     write_table(rows, path, fmt, partition_by=[OUTCOME])
 
 
-def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_clean(spark: SparkSession, path: str | list[str], fmt: str = "parquet", base: str | None = None) -> DataFrame:
     """Typed clean rows of a split; only their partition is scanned."""
-    return _read(spark, path, fmt, TYPED, CLEAN).select(*COLUMNS)
+    return _read(spark, path, fmt, TYPED, CLEAN, base).select(*COLUMNS)
 
 
-def read_rejected(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_rejected(spark: SparkSession, path: str | list[str], fmt: str = "parquet", base: str | None = None) -> DataFrame:
     """Raw text of the rejected rows of a split, and the whole line of malformed ones; only their partition is scanned."""
-    rows = _read(spark, path, fmt, RAW, REJECTED)
+    rows = _read(spark, path, fmt, RAW, REJECTED, base)
     if fmt == "csv":
         return rows.select(*COLUMNS, MALFORMED)
     return rows.select(
@@ -98,7 +98,7 @@ def _outcome(clean: Column) -> Column:
 
 
 def _read(
-    spark: SparkSession, path: str, fmt: str, csv_schema: T.StructType, outcome: str
+    spark: SparkSession, path: str | list[str], fmt: str, csv_schema: T.StructType, outcome: str, base: str | None
 ) -> DataFrame:
     # The schema is stated because a split may be empty.
     partition = T.StructField(OUTCOME, T.StringType())
@@ -109,4 +109,6 @@ def _read(
     else:
         raw = [T.StructField(f"raw_{c}", T.StringType()) for c in CONVERTED]
         reader = spark.read.schema(T.StructType([*TYPED, *raw, malformed, partition]))
+    if base is not None:  # several splits inside one folder
+        reader = reader.option("basePath", base)
     return reader.format(fmt).load(path).filter(F.col(OUTCOME) == outcome)
