@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tillscope.llm import line_dedup, simhash
 from tillscope.llm.components import components
@@ -171,3 +172,11 @@ def test_large_group_of_near_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.id: sorted(r.removed) for r in line_dedup.marked(docs).collect()}
     assert found == {i: sorted(g) for (i, _), g in zip(rows, plain_removed(rows)) if g}
+
+
+def test_only_a_to_z_lose_their_case(spark):
+    lines = ["Über ALLE Äpfel und Öl", "über alle äpfel UND öl", "ÜBER", "über", "İstanbul ΟΔΟΣ Ⅻ ⓩ", "ǅ x  y", "\t A\r\x0bB \f"]
+    found = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k long, line string").select(
+        "k", line_dedup._words(F.col("line")).alias("words")
+    )
+    assert {r.k: frozenset(r.words) - {""} for r in found.collect()} == {k: words_of(x) for k, x in enumerate(lines)}

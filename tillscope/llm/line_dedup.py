@@ -34,6 +34,7 @@ _CLASSES = 1 << 18
 _NULL_ID = -(1 << 63)
 _SPACES = "\t\r\v\f"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]"
 _PLACE = ["doc", "hash", "line"]
 
 
@@ -67,6 +68,7 @@ def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words:
         asked = F.broadcast(asked)
     last = _verified(docs, sets, _full_candidates(_entries(comparable), asked).select("a_sid", "b_sid").distinct())
     matched = matched.union(found).union(last).withColumn("matched", F.lit(True))
+    free_shuffles(docs.sparkSession)
     late = saved(
         sets.select("set", "sketch", "sid", "doc", "line", "times")
         .join(matched, "sid", "left")
@@ -86,6 +88,7 @@ def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words:
 def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = 1) -> DataFrame:
     """All rows and columns as the struct ``row``, with new_text, n_lines and n_removed."""
     found = saved(marked(docs, id, text, least_words))
+    free_shuffles(docs.sparkSession)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(id).cast("long"), F.lit(_NULL_ID)).alias("of"),
@@ -111,15 +114,15 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words
     )
 
 
-def _folded(word: Column) -> Column:
-    """A-Z as a-z. The built-in lower case does the same, at less cost, where all is ASCII or nothing changes."""
-    small = F.lower(word)
-    same = (F.octet_length(word) == F.length(word)) | (small == word)
-    return F.when(same, small).otherwise(F.translate(word, _UPPER, _UPPER.lower()))
+def _folded(line: Column) -> Column:
+    """A-Z as a-z. The built-in lower case does the same, at less cost, where no other sign has a lower case (or is unknown)."""
+    plain = (F.octet_length(line) == F.length(line)) | ~line.rlike(_OTHER_UPPER)
+    return F.when(plain, F.lower(line)).otherwise(F.translate(line, _UPPER, _UPPER.lower()))
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(_spaced(line, _SPACES), " "), "")
+    """Words of a line, folded; where spaces meet there are empty ones."""
+    return F.split(_folded(_spaced(line, _SPACES)), " ")
 
 
 def _spaced(text: Column, signs: str) -> Column:
@@ -135,9 +138,9 @@ def _rarity(docs: DataFrame) -> DataFrame:
     """One row with an array: the class of frequency of every class of hash, a third of a binary order of magnitude each."""
     counted = (
         docs.select(F.explode(F.split("text", "\n")).alias("line"))
-        .select(F.explode(F.split(_spaced(F.col("line"), _SPACES), " ")).alias("w"))
+        .select(F.explode(_words(F.col("line"))).alias("w"))
         .filter("w <> ''")
-        .groupBy(_class(F.xxhash64(_folded(F.col("w")))).alias("k"))
+        .groupBy(_class(F.xxhash64("w")).alias("k"))
         .agg(F.count(F.lit(1)).alias("c"))
         .select("k", F.least(F.lit(126), F.floor(3 * F.log2("c"))).cast("tinyint").alias("c"))
     )
@@ -148,7 +151,7 @@ def _rarity(docs: DataFrame) -> DataFrame:
 
 def _hashes(line: Column) -> Column:
     """Hashes of the distinct words."""
-    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(_folded(w))))
+    return F.array_remove(F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _tokens(hashes: Column, rarity: Column) -> Column:
@@ -278,13 +281,12 @@ def _verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFr
     )
     # Lines travel as text, which shuffles compress, and are cut into words where they meet.
     left, right = (found.select(F.col("sid").alias(f"{x}_sid"), F.col("own").alias(f"{x}_own")) for x in "ab")
-    a, b = (F.array_distinct(F.transform(_words(F.col(f"{x}_own")), _folded)) for x in "ab")
+    a, b = (F.array_remove(F.array_distinct(_words(F.col(f"{x}_own"))), "") for x in "ab")
     return saved(
         pairs.join(left, "a_sid")
         .join(right, "b_sid")
-        .select(F.col("b_sid").alias("sid"), a.alias("a"), b.alias("b"))
-        .select("sid", F.size(F.array_intersect("a", "b")).alias("shared"), (F.size("a") + F.size("b")).alias("both"))
-        .filter("shared * 9 >= both * 4")
+        .select(F.col("b_sid").alias("sid"), F.inline(F.array(F.struct(a.alias("a"), b.alias("b")))))  # words are made once
+        .filter(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4)
         .select("sid")
         .distinct()
     )
