@@ -98,6 +98,9 @@ def segment(
     if not _has_distinct_points(usable, columns):
         return Segmentation(METRICS_ONLY, metrics, metrics)
 
+    # Asked for more centres than there are points, a fit may fail or give fewer.
+    distinct = usable.select(*columns).distinct().limit(max(cluster_counts)).count()
+    cluster_counts = tuple(sorted({min(k, distinct) for k in cluster_counts}))
     scaling = fit_scaling(usable, columns)
     attempts = [(UNSCALED, RAW_FEATURES, (2,))]
     if all(math.isfinite(v) for v in [*scaling.stages[-1].mean, *scaling.stages[-1].std]):
