@@ -19,6 +19,7 @@ from tillscope.operators import (  # noqa: E402
     anomalies,
     customers,
     exact,
+    ladder,
     lloyd,
     ordering,
     profiling,
@@ -131,6 +132,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "separated_choice": lambda s, d: segments.score_table(segments.segment(_separated(s, d)))
         .filter("chosen")
         .select("k"),
+        "segment_ladder": lambda s, d: ladder.rungs(_cases(s, d), "case_name"),
         "k_selection": lambda s, d: _rounded(segments.score_table(_segments(s, d)), ["silhouette", "cost"], 6),
         "customer_clusters": lambda s, d: _rounded(_segments(s, d).customers, "total_spending", 2),
         "cluster_centers": lambda s, d: _rounded(
@@ -241,6 +243,32 @@ def _segments(spark: SparkSession, directory: str) -> segments.Segmentation:
     return lloyd.segment(_metrics(spark, directory))
 
 
+def _cases(spark: SparkSession, directory: str) -> DataFrame:
+    """Sets of customers made from the same metrics, from plain ones to such that cannot be clustered."""
+    metrics = _metrics(spark, directory)
+    first = metrics.agg(F.min("customer_id").alias("m")).scalar()
+    orders, products = F.col("total_orders").cast("double"), F.col("unique_products").cast("double")
+    spending, one = F.round("total_spending", 2), F.lit(1.0)
+    alone = F.col("customer_id") == first
+    made = {
+        "as_they_are": (orders, spending, products),
+        "one_customer": (orders, spending, products),
+        "equal_points": (one, one, one),
+        "two_points": (orders % 2, one, one),
+        "one_infinite": (orders, F.when(alone, float("inf")).otherwise(spending), products),
+        "one_null": (orders, F.when(~alone, spending), products),
+        "all_null": (orders, F.lit(None).cast("double"), products),
+        "beyond_scaling": (orders, spending * 1e200, products),
+    }
+    sets = [
+        F.struct(F.lit(name).alias("case_name"), *[v.alias(c) for c, v in zip(METRICS, values)])
+        for name, values in made.items()
+    ]
+    return metrics.select("customer_id", alone.alias("alone"), F.inline(F.array(*sets))).filter(
+        "case_name <> 'one_customer' OR alone"
+    )
+
+
 def _separated(spark: SparkSession, directory: str) -> DataFrame:
     """Metrics moved apart by the customer number, so that three groups are the only good clustering."""
     group = F.substring_index("customer_id", "_", -1).cast("int") % 3
@@ -721,6 +749,7 @@ def _computed_sql() -> dict[str, str]:
             f"round(avg(unique_products), 2) AS center_unique_products FROM ({_SEPARATED}) GROUP BY prediction"
         ),
         "separated_choice": _on_clusters("SELECT k FROM chosen", _SEPARATED),
+        "segment_ladder": _on_metrics(_LADDER),
         "k_selection": _on_clusters(
             "SELECT s.k, round(s.silhouette, 6) AS silhouette, round(s.cost, 6) AS cost, s.k = c.k AS chosen FROM scores s, chosen c"
         ),
@@ -917,6 +946,37 @@ def _on_clusters(body: str, used: str = "SELECT * FROM metrics") -> str:
     return _CLUSTERS.format(sales=_SALES, metrics=_METRICS_OF.format(source="tx"), used=used) + body
 
 
+# A deviation cannot be had as a double where the square of a difference from the mean is beyond one.
+_LADDER = """
+    , firsts AS (
+        SELECT *, total_orders::DOUBLE AS o, round(total_spending, 2) AS s, unique_products::DOUBLE AS u,
+               customer_id = (SELECT min(customer_id) FROM metrics) AS alone
+        FROM metrics
+    ), cases AS (
+        SELECT 'as_they_are' AS case_name, o, s, u FROM firsts
+        UNION ALL SELECT 'one_customer', o, s, u FROM firsts WHERE alone
+        UNION ALL SELECT 'equal_points', 1, 1, 1 FROM firsts
+        UNION ALL SELECT 'two_points', o % 2, 1, 1 FROM firsts
+        UNION ALL SELECT 'one_infinite', o, CASE WHEN alone THEN 'inf'::DOUBLE ELSE s END, u FROM firsts
+        UNION ALL SELECT 'one_null', o, CASE WHEN NOT alone THEN s END, u FROM firsts
+        UNION ALL SELECT 'all_null', o, NULL, u FROM firsts
+        UNION ALL SELECT 'beyond_scaling', o, s * 1e200, u FROM firsts
+    ), usable AS (
+        SELECT *, avg(s) OVER (PARTITION BY case_name) AS mean FROM cases WHERE isfinite(s)
+    ), points AS (
+        SELECT case_name, count(*) AS n_usable, count(DISTINCT (o, s, u)) AS n_points, max(abs(s - mean)) AS far
+        FROM usable GROUP BY case_name
+    ), counted AS (
+        SELECT case_name, count(*) AS n_customers FROM cases GROUP BY case_name
+    ), decided AS (
+        SELECT case_name, n_customers, coalesce(n_usable, 0) AS n_usable, coalesce(n_points, 0) AS n_points,
+               CASE WHEN coalesce(n_points, 0) < 2 THEN 'metrics_only' WHEN far < 1.3e154 THEN 'scaled' ELSE 'unscaled' END AS status
+        FROM counted LEFT JOIN points USING (case_name)
+    )
+    SELECT *, CAST(CASE status WHEN 'scaled' THEN least(5, n_points) WHEN 'unscaled' THEN 2 END AS INTEGER) AS most_clusters
+    FROM decided
+"""
+
 # Sum of squared distances from a point to a cluster, from the cluster's count and sums.
 _SILHOUETTE = """
     WITH points AS (
