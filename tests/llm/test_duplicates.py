@@ -180,3 +180,20 @@ def test_only_a_to_z_lose_their_case(spark):
         "k", line_dedup._words(F.col("line")).alias("words")
     )
     assert {r.k: frozenset(r.words) - {""} for r in found.collect()} == {k: words_of(x) for k, x in enumerate(lines)}
+
+
+def test_long_lines_of_frequent_words_are_no_candidates(spark):
+    rng = np.random.default_rng(12)
+    rows = [(id, " ".join(f"w{k}" for k in rng.choice(900, 150, replace=False))) for id in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id AS doc", "xxhash64(text) AS hash", "text")
+    entries = line_dedup._entries(line_dedup._sets(docs).withColumn("sid", F.col("doc")))
+    assert entries.count() > 5000
+    assert line_dedup._full_candidates(entries, entries).select("b_sid").distinct().count() <= 2
+
+
+def test_many_changed_documents(spark, monkeypatch):
+    rows = [(k, f"line {k % 9} of some\nother {k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "BROADCAST_DOCUMENTS", 100)  # 31 documents change: beyond a quarter, below the whole
+    found = {r.row.doc_id: r.n_removed for r in line_dedup.cleaned(docs).collect()}
+    assert found == {k: int(k >= 9) for k in range(40)}

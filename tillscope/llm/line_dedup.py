@@ -12,7 +12,7 @@ The join is exact and runs on DataFrame functions:
 2. Equal sets become one, with its first place and its number. Every place after the first goes. It remains to be found
    whether an earlier set matches: that one's place is before all places of the set, so all of them go.
 3. Prefix, positional and length filters, and a parity sketch of the set that bounds its difference from below, choose
-   candidates; words decide. To spare hot groups, sets first meet the earliest and the most frequent set with the same token
+   candidates; words decide. The sketch has 64 bits, and 256 for sets of many tokens, which 64 do not tell apart. To spare hot groups, sets first meet the earliest and the most frequent set with the same token
    of least hash. Only sets without a match go on to the full comparison, which verifies the most alike candidate of each,
    and to the last one, which verifies all candidates of sets whose most alike one was none.
 
@@ -36,6 +36,10 @@ _SPACES = "\t\r\v\f"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]"
 _PLACE = ["doc", "hash", "line"]
+#: Sets of more tokens have a sketch of 256 bits: the three columns, and the first quarter, which is what they and ``sketch``
+#: add up to. For other sets the three are zero.
+_WIDE = 64
+_SKETCH = ["sketch", "second", "third", "fourth"]
 
 
 def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words: int = 1) -> DataFrame:
@@ -48,25 +52,25 @@ def marked(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words:
     lines = saved(_sets(docs)).filter(F.col("n") >= max(1, least_words))
     sets = saved(
         lines.groupBy("set", "sketch")
-        .agg(F.min(F.struct("doc", "line", "hash", "n", "least", "prefix")).alias("x"), F.count(F.lit(1)).alias("times"))
+        .agg(F.min(F.struct("doc", "line", "hash", "n", "least", *_SKETCH[1:], "prefix")).alias("x"), F.count(F.lit(1)).alias("times"))
         .select("set", "sketch", "x.*", "times")
         .withColumn("sid", F.monotonically_increasing_id())  # fixed by the file that holds it
     )
     # Up to three words only equal sets match, and those are one already.
     comparable = sets.filter("n > 3")
     free_shuffles(docs.sparkSession)
-    matched = _verified(docs, sets, _lead_candidates(comparable))
+    matched = _verified(docs, sets, saved(_lead_candidates(comparable)))
     free_shuffles(docs.sparkSession)
     still = _entries(_unmatched(comparable, matched))
-    best = saved(_best(_full_candidates(still, still)))
+    best = saved(_best(_full_candidates(still, still), _differing("a", "b", *_sizes())))
     free_shuffles(docs.sparkSession)
     found = _verified(docs, sets, best)
     free_shuffles(docs.sparkSession)
-    failed = saved(best.select(F.col("b_sid").alias("sid")).join(found, "sid", "left_anti"))
+    failed = best.select(F.col("b_sid").alias("sid")).join(found, "sid", "left_anti")
     asked = _entries(comparable.join(_small(failed), "sid", "left_semi"))
     if failed.count() <= BROADCAST_DOCUMENTS // 10:  # about ten entries each
         asked = F.broadcast(asked)
-    last = _verified(docs, sets, _full_candidates(_entries(comparable), asked).select("a_sid", "b_sid").distinct())
+    last = _verified(docs, sets, saved(_full_candidates(_entries(comparable), asked).select("a_sid", "b_sid").distinct()))
     matched = matched.union(found).union(last).withColumn("matched", F.lit(True))
     free_shuffles(docs.sparkSession)
     late = saved(
@@ -96,7 +100,10 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words
         F.col(text).cast("string").alias("text"),
     )
     found = found.select(F.coalesce("id", F.lit(_NULL_ID)).alias("of"), F.col("text_hash").alias("hash"), "removed")
-    if found.count() <= BROADCAST_DOCUMENTS:  # texts that stay as they are need not move
+    found_rows, gone = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
+    if 4 * found_rows <= BROADCAST_DOCUMENTS and gone <= BROADCAST_DOCUMENTS:  # no text needs to move
+        rows = rows.join(F.broadcast(found), ["of", "hash"], "left")
+    elif found_rows <= BROADCAST_DOCUMENTS:  # texts that stay as they are need not move
         keys = F.broadcast(found.select("of", "hash"))
         touched = rows.join(keys, ["of", "hash"], "left_semi").join(found, ["of", "hash"])
         rest = rows.join(keys, ["of", "hash"], "left_anti").withColumn("removed", F.lit(None).cast("array<int>"))
@@ -161,14 +168,13 @@ def _tokens(hashes: Column, rarity: Column) -> Column:
     )
 
 
-def _sketch(tokens: Column) -> Column:
-    """For each of 64 classes of tokens, whether their number is odd."""
-    one = F.lit(1).cast("long")
-    return F.aggregate(
-        tokens,
-        F.lit(0).cast("long"),
-        lambda s, t: s.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))),
-    )
+def _sketch(tokens: Column, quarter: int | None = None) -> Column:
+    """For each of 64 classes of tokens, whether their number is odd; or for those of one quarter of 256 classes."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    if quarter is None:
+        return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(bit(t)))
+    of = F.lit(64 * quarter)
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: F.when(t.bitwiseAND(F.lit(192)) == of, s.bitwiseXOR(bit(t))).otherwise(s))
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -186,6 +192,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             *_PLACE,
             F.xxhash64("tokens").alias("set"),
             _sketch(F.col("tokens")).alias("sketch"),
+            *[F.when(n > _WIDE, _sketch(F.col("tokens"), k)).otherwise(0).alias(c) for k, c in enumerate(_SKETCH[1:], 1)],
             "n",
             "least",
             # Similar sets share a token here: n - ceil(0.8 n) + 1 of them.
@@ -196,15 +203,19 @@ def _sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def _differing(a: str, b: str) -> Column:
+def _differing(a: str, b: str, n: Column | None = None, m: Column | None = None) -> Column:
     """At most the number of tokens that only one of the sets has."""
-    return F.bit_count(F.col(f"{a}_sketch").bitwiseXOR(F.col(f"{b}_sketch")))
+    n, m = F.col(f"{a}_n") if n is None else n, F.col(f"{b}_n") if m is None else m
+    x = [F.col(f"{a}_{s}").bitwiseXOR(F.col(f"{b}_{s}")) for s in _SKETCH]
+    count = lambda p, q: F.bit_count(p) + F.bit_count(q)
+    both = (n > _WIDE) & (m > _WIDE)
+    return F.when(both, count(x[0].bitwiseXOR(x[1]).bitwiseXOR(x[2]).bitwiseXOR(x[3]), x[1]) + count(x[2], x[3])).otherwise(F.bit_count(x[0]))
 
 
 def _possible(a: str, b: str, n: Column | None = None, m: Column | None = None) -> Column:
     """Whether length and sketch let the sets be similar; their overlap is at least 4 (n + m) / 9 then."""
     n, m = F.col(f"{a}_n") if n is None else n, F.col(f"{b}_n") if m is None else m
-    return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (_differing(a, b) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
+    return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (_differing(a, b, n, m) <= n + m - 2 * F.floor(((n + m) * 4 + 8) / 9))
 
 
 def _before(a: str, b: str) -> Column:
@@ -212,19 +223,17 @@ def _before(a: str, b: str) -> Column:
     return (x < y) | ((x == y) & (F.col(f"{a}_line") < F.col(f"{b}_line")))
 
 
-
-
 def _small(keys: DataFrame) -> DataFrame:
     """A saved table of keys, marked for broadcasting if its counted number is small."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_DOCUMENTS else keys
 
 
-_SET = ["sid", "doc", "line", "sketch", "n"]
+_SET = ["sid", "doc", "line", *_SKETCH, "n"]
 
 
 def _lead_candidates(sets: DataFrame) -> DataFrame:
     """Each set with the more alike of the earliest and the most frequent set with its least hash, if they come earlier."""
-    rows = sets.select("least", "times", F.struct("doc", "line", "sid", "sketch", "n").alias("b"))
+    rows = sets.select("least", "times", F.struct("doc", "line", "sid", *_SKETCH, "n").alias("b"))
     leads = (
         rows.groupBy("least")
         .agg(F.min("b").alias("early"), F.max(F.struct("times", "b")).alias("common"), F.count(F.lit(1)).alias("k"))
@@ -232,12 +241,12 @@ def _lead_candidates(sets: DataFrame) -> DataFrame:
         .select("least", F.explode(F.array_distinct(F.array("early", "common.b"))).alias("a"))
     )
     pairs = rows.join(leads, "least").select(*[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in _SET])
-    return _best(pairs.filter(_before("a", "b") & _possible("a", "b")))
+    return _best(pairs.filter(_before("a", "b") & _possible("a", "b")), _differing("a", "b"))
 
 
-def _best(pairs: DataFrame) -> DataFrame:
+def _best(pairs: DataFrame, differing: Column) -> DataFrame:
     """The pair of each second set that differs least."""
-    best = F.min(F.struct(_differing("a", "b").alias("differing"), "a_sid"))
+    best = F.min(F.struct(differing.alias("differing"), "a_sid"))
     return pairs.groupBy("b_sid").agg(best.alias("a")).select("a.a_sid", "b_sid")
 
 
@@ -250,13 +259,18 @@ def _unmatched(sets: DataFrame, matched: DataFrame) -> DataFrame:
 def _entries(sets: DataFrame) -> DataFrame:
     """A row for each token of a prefix; ``size`` holds n, and whether matches are asked for in its last bit."""
     asked = F.col("open").cast("int") if "open" in sets.columns else F.lit(1)
-    return sets.select("sid", "doc", "line", "sketch", (F.col("n") * 2 + asked).alias("size"), F.posexplode("prefix").alias("at", "token"))
+    return sets.select("sid", "doc", "line", *_SKETCH, (F.col("n") * 2 + asked).alias("size"), F.posexplode("prefix").alias("at", "token"))
+
+
+def _sizes() -> list[Column]:
+    """The numbers of tokens of two entries."""
+    return [F.shiftright(f"{x}_size", 1) for x in "ab"]
 
 
 def _full_candidates(earlier: DataFrame, asked: DataFrame) -> DataFrame:
     """Pairs of entries with the same token, the one before the other, that can belong to similar sets."""
     a, b = (e.select(*[F.col(c).alias(f"{x}_{c}") for c in e.columns]) for x, e in (("a", earlier), ("b", asked)))
-    n, m = (F.shiftright(f"{x}_size", 1) for x in "ab")
+    n, m = _sizes()
     inside = F.least(n - F.col("a_at"), m - F.col("b_at"))  # tokens that can be shared from here on
     near = _before("a", "b") & _possible("a", "b", n, m) & (inside * 9 >= (n + m) * 4)
     # Behind coalesce no side gets filters of its own, and both need the same columns; so equal entries are shuffled once.
@@ -264,13 +278,14 @@ def _full_candidates(earlier: DataFrame, asked: DataFrame) -> DataFrame:
     return a.join(b, (F.col("a_token") == F.col("b_token")) & wanted)
 
 
-def _verified(docs: DataFrame, sets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The second sets (sid) of the candidates whose words are similar enough."""
-    pairs = saved(candidates)
-    named = saved(pairs.select(F.col("a_sid").alias("sid")).union(pairs.select("b_sid")).distinct())
-    places = saved(sets.select("sid", *_PLACE).join(_small(named), "sid", "left_semi"))
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The second sets (sid) of the saved candidates whose words are similar enough."""
+    named = pairs.select(F.col("a_sid").alias("sid")).union(pairs.select("b_sid")).distinct()
+    few = 2 * pairs.count() <= BROADCAST_DOCUMENTS
+    places = sets.select("sid", *_PLACE).join(F.broadcast(named) if few else named, "sid", "left_semi")
+    places = places if few else saved(places)
     rows, wanted = places.select("doc", "hash").distinct(), places
-    if places.count() <= BROADCAST_DOCUMENTS:
+    if few:
         rows, wanted = F.broadcast(rows), F.broadcast(wanted)
     found = (
         docs.join(rows, ["doc", "hash"], "left_semi")
