@@ -141,3 +141,13 @@ def test_every_run_of_a_word_is_a_candidate(spark):
         (4, 1, "0123456789abcdef", 1, 1),
     ]
     assert len({(r.id, r.place, r.at) for r in found}) == len(found)
+
+
+def test_words_are_cut_in_one_pass(spark, capsys):
+    texts = ["", " ", None, "a", ".A-b..C_", "  Über ÄÖ9zİI\x00x\x7f", "ǅA \U0001f642B"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cut = docs.select("doc_id", decontaminate.words(common.text_or_empty()).alias("w"))
+    assert {r.doc_id: r.w for r in cut.collect()} == {k: words(t) for k, t in enumerate(texts)}
+    cut.explain()
+    shown = capsys.readouterr().out
+    assert "regexp_replace" not in shown and len(re.findall(r"(?<![a-z_])split\(", shown)) == 1

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
+_OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +69,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def folded(text: Column) -> Column:
+    """A-Z as a-z. The built-in lower case does the same, at less cost, where no other sign has a lower case (or is unknown)."""
+    plain = (F.octet_length(text) == F.length(text)) | ~text.rlike(_OTHER_UPPER)
+    return F.when(plain, F.lower(text)).otherwise(ascii_lower(text))
+
+
 def smallest(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
     """A bounded, repeatable sample: the first rows by the given order."""
     return df.orderBy(*order).limit(limit)

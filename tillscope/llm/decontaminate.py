@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved, text_or_empty
+from .common import folded, saved, text_or_empty
 
 WINDOW = 13
 #: Windows are broadcast up to this number (about 200 bytes each); beyond it they are joined by shuffling.
@@ -28,8 +28,7 @@ _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    plain = F.trim(F.regexp_replace(ascii_lower(text), _APART, " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    return F.array_remove(F.split(folded(text), _APART), "")
 
 
 def hits(
@@ -47,7 +46,7 @@ def hits(
     The first has doc_id, text_hash (xxhash64 of the text), at (a word's number from 0), n and digest of every occurrence
     of a window; the second digest, n and item_id.
     """
-    spans = saved(
+    spans = (
         items.select(F.col(item_id).alias("item_id"), words(text_or_empty(item_text)).alias("w"))
         .withColumn("n", F.least(F.lit(window), F.size("w")))
         .filter("n > 0")

@@ -12,9 +12,10 @@ The join is exact and runs on DataFrame functions:
 2. Equal sets become one, with its first place and its number. Every place after the first goes. It remains to be found
    whether an earlier set matches: that one's place is before all places of the set, so all of them go.
 3. Prefix, positional and length filters, and a parity sketch of the set that bounds its difference from below, choose
-   candidates; words decide. The sketch has 64 bits, and 256 for sets of many tokens, which 64 do not tell apart. To spare hot groups, sets first meet the earliest and the most frequent set with the same token
-   of least hash. Only sets without a match go on to the full comparison, which verifies the most alike candidate of each,
-   and to the last one, which verifies all candidates of sets whose most alike one was none.
+   candidates; words decide. The sketch has 64 bits, and 256 for sets of many tokens, which 64 do not tell apart. To spare hot
+   groups, sets first meet the earliest and the most frequent set with the same token of least hash. Only sets without a match
+   go on to the full comparison, which verifies the most alike candidate of each, and to the last one, which verifies all
+   candidates of sets whose most alike one was none.
 
 NULL ids come first. Lines at the same place of rows that share an id are not before one another. Rows that agree in id and
 text share their result, and each gives a row. NULL texts stay NULL, without lines. Other columns are ignored by ``marked``
@@ -26,15 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_shuffles, saved
+from .common import folded, free_shuffles, saved
 
 #: Documents and sets are looked up by a broadcast of their keys up to this number (20 bytes each), else by a shuffle.
 BROADCAST_DOCUMENTS = 1_000_000
 _CLASSES = 1 << 18
 _NULL_ID = -(1 << 63)
 _SPACES = "\t\r\v\f"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]"
 _PLACE = ["doc", "hash", "line"]
 #: Sets of more tokens have a sketch of 256 bits: the three columns, and the first quarter, which is what they and ``sketch``
 #: add up to. For other sets the three are zero.
@@ -121,15 +120,9 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", least_words
     )
 
 
-def _folded(line: Column) -> Column:
-    """A-Z as a-z. The built-in lower case does the same, at less cost, where no other sign has a lower case (or is unknown)."""
-    plain = (F.octet_length(line) == F.length(line)) | ~line.rlike(_OTHER_UPPER)
-    return F.when(plain, F.lower(line)).otherwise(F.translate(line, _UPPER, _UPPER.lower()))
-
-
 def _words(line: Column) -> Column:
     """Words of a line, folded; where spaces meet there are empty ones."""
-    return F.split(_folded(_spaced(line, _SPACES)), " ")
+    return F.split(folded(_spaced(line, _SPACES)), " ")
 
 
 def _spaced(text: Column, signs: str) -> Column:
