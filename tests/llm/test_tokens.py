@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tillscope.llm import bpe, queries_tokens, token_files
+from tillscope.llm import bpe, queries_tokens, token_files, tokens
 from tillscope.llm.common import tokenizer_path, workspace
 from tillscope.llm.tokens import Codec, Vocabulary, texts_of
 
@@ -128,3 +128,13 @@ def test_registered_queries_against_the_library(spark, library):
         expected[i] = (start, len(x), zlib.crc32(np.array(x, "<u4").tobytes()))
         start += len(x)
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries_tokens.op6_token_files(spark, folder).collect()} == expected
+
+
+def test_learning_looks_at_each_piece_once(spec, library, monkeypatch):
+    seen, looked = [], tokens._joinable
+    monkeypatch.setattr(tokens, "_joinable", lambda w: seen.append(w) or looked(w))
+    codec, text = Codec(Vocabulary(spec)), "a b  c\n日本 語 it's a b"
+    (data, offsets, _), = texts_of(pa.array([text, text]))
+    ids, counts = codec.encode(data, offsets)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids * 2 and counts[0] == counts[1]
+    assert len(seen) == len(set(seen)) == len(codec.known)

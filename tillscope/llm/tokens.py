@@ -14,6 +14,7 @@ import sys
 import types
 from collections import deque
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -152,8 +153,9 @@ class Codec:
 
     def _learn(self, words: list[bytes]) -> None:
         """Encodes pieces. Those that meet in safe points are encoded together and parted by size."""
-        joined = [w for w in words if _joinable(w)]
-        apart = [w for w in words if not _joinable(w)]
+        marks = list(map(_joinable, words))
+        joined = list(compress(words, marks))
+        apart = [w for w, mark in zip(words, marks) if not mark]
         ids, lengths = [self.flat], [self.lengths]
         for k in range(0, len(joined), 50_000):
             some = joined[k : k + 50_000]
@@ -161,7 +163,7 @@ class Codec:
                 [b"".join(some).decode()], add_special_tokens=False
             )[0].ids
             found = np.array(found, np.uint32)
-            ends = np.cumsum([len(w) for w in some])
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
             upto = np.searchsorted(np.cumsum(self.sizes[found]), ends, "right")
             ids.append(found)
             lengths.append(np.diff(upto, prepend=0))
@@ -170,8 +172,7 @@ class Codec:
             for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
                 ids.append(np.array(e.ids, np.uint32))
                 lengths.append(np.array([len(e.ids)], np.int64))
-        for w in joined + apart:
-            self.known[w] = len(self.known)
+        self.known.update(zip(joined + apart, range(len(self.known), len(self.known) + len(words))))
         self.flat, self.lengths = np.concatenate(ids), np.concatenate(lengths)
 
 
