@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -113,6 +114,43 @@ def test_chunk_keys_tell_ids_apart():
     assert hashlib.blake2b(b"text", digest_size=16).digest() == bpe._key(None, data)
 
 
+def test_rows_of_other_ids_or_texts_have_other_keys(spark):
+    rows = [(1, "text"), (2, "text"), (None, "text"), (1, "1:text"), (11, "text"), (None, "1:text"), (-1, "text")]
+    docs = spark.createDataFrame([*rows, *rows], "doc_id long, text string")
+    keys = docs.select(bpe._row_key().alias("key")).groupBy("key").count().collect()
+    assert [(len(r.key), r["count"]) for r in keys] == [(16, 2)] * len(rows)
+
+
+def test_chunk_cuts_take_little_memory_and_are_the_same_in_blocks(monkeypatch):
+    data = np.random.default_rng(5).integers(32, 127, 4_000_000).astype(np.uint8)
+    offsets = np.array([0, 10, 1_500_000, len(data)])
+    tracemalloc.start()
+    cuts = bpe.chunk_cuts(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * len(data)
+    for size in (1 << 30, 1000, 33):
+        monkeypatch.setattr(bpe, "_BLOCK_BYTES", size)
+        assert bpe.chunk_cuts(data[:300_000], np.array([0, 10, 300_000])).tolist() == [c for c in cuts if c < 300_000]
+
+
+def test_one_python_step_in_a_stage(spark, spec):
+    """Two would run side by side, each in a worker of its own, which doubles the memory of an executor's workers."""
+    passage = " ".join(f"word{k}" for k in range(2000))
+    docs = spark.createDataFrame([(k, f"{passage} {k}") for k in range(4)], "doc_id long, text string")
+    encoded = bpe.encode(docs, spec)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    above = []  # depths of steps in Python with no exchange below them so far
+    for line in encoded._jdf.queryExecution().sparkPlan().toString().split("\n"):
+        above = [d for d in above if d < depth(line)]
+        if "MapInArrow" in line:
+            assert not above
+            above.append(depth(line))
+        elif "SortMergeJoin" in line or "Exchange" in line or "Aggregate" in line:
+            above = []
+    assert encoded.count() == 4
+
+
 def test_registered_queries_against_the_library(spark, library):
     folder = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
-from .tokens import Codec, Vocabulary, give_back, safe_points, texts_of
+from .tokens import Codec, Vocabulary, give_back, ragged, safe_points, texts_of
 
 _WINDOW = 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -32,6 +32,10 @@ _HELD_PER_TASK = 5000
 #: Keys of documents that encode shared chunks are broadcast up to this number (16 bytes each).
 BROADCAST_OWNERS = 1_000_000
 _SLICE_BYTES = 1 << 20
+#: Packed texts are taken apart so many bytes at a time.
+_PACKED_BYTES = 1 << 18
+#: Texts are hashed so many bytes at a time.
+_BLOCK_BYTES = 1 << 17
 
 
 def encode(
@@ -44,8 +48,9 @@ def encode(
     for each document that holds them.
     """
     vocabulary = Vocabulary(spec)
-    docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    chunks = saved(docs.mapInArrow(_chunk_digests, "key binary, seq int, digest binary"))
+    docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    docs = docs.withColumn("key", _row_key())
+    chunks = saved(docs.select("key", "text").mapInArrow(_chunk_digests, "key binary, seq int, digest binary"))
     # A chunk held by many documents is dealt over so many tasks.
     salts = F.ceil(F.col("n") / _HELD_PER_TASK).cast("int").alias("salts")
     shared = saved(
@@ -67,13 +72,13 @@ def encode(
         .groupBy("key")
         .agg(F.collect_set(F.struct("seq", "digest", "salts")).alias("owned"))
     )
-    packed = docs.mapInArrow(_packed, "doc_id long, key binary, packed binary")
-    owners = packed
+    owners = docs.select("key", "text")
     if owned.count() <= BROADCAST_OWNERS:  # else all texts are shuffled once more
-        owners = packed.join(F.broadcast(owned.select("key")), "key", "left_semi")
+        owners = owners.join(F.broadcast(owned.select("key")), "key", "left_semi")
+    # Texts are not packed here: two steps in Python would run side by side in a task, each in a worker of its own.
     encoded = (
         owners.join(owned, "key")
-        .select("packed", "owned")
+        .select("text", "owned")
         .mapInArrow(lambda b: _encode_owned(b, vocabulary), "digest binary, ids binary, salts int")
         .dropDuplicates(["digest"])
         .select("digest", "ids", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
@@ -84,6 +89,7 @@ def encode(
         .groupBy("key")
         .agg(F.collect_set(F.struct("seq", "ids")).alias("given"))
     )
+    packed = docs.mapInArrow(_packed, "doc_id long, key binary, packed binary")
     return (
         packed.join(given, "key", "left")
         .select("doc_id", "packed", "given")
@@ -115,45 +121,48 @@ def chunk_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     starts = np.unique(offsets[:-1])
     if len(data) <= _WINDOW:
         return starts
-    rolling, width, factor = (data.astype(np.uint64) + np.uint64(1)) * _MULTIPLIER, 1, _MULTIPLIER
-    with np.errstate(over="ignore"):
-        while width < _WINDOW:
-            rolling = rolling[:-width] * factor + rolling[width:]
-            width, factor = width * 2, factor * factor
-        places = np.flatnonzero((rolling >> np.uint64(64 - _MEAN_BITS)) == 0) + _WINDOW
+    # In blocks that overlap by a window, as the numbers take eight bytes for each byte of text.
+    blocks = range(0, len(data) - _WINDOW, _BLOCK_BYTES)
+    places = np.concatenate([_rolling_cuts(data[a : a + _BLOCK_BYTES + _WINDOW - 1]) + a for a in blocks])
     places = places[places < len(data)]
     places = places[(data[places] & 0xC0) != 0x80]  # whole characters
     begun = offsets[np.searchsorted(offsets, places, "right") - 1]
     return np.union1d(starts, places[places - begun >= _WINDOW])
 
 
-def _documents(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[int | None, bytes, np.ndarray, np.ndarray]]:
-    """Id, digest, bytes and chunk starts (from 0, with the end) of each document."""
-    for data, offsets, first in texts_of(texts, _SLICE_BYTES):
-        cuts = np.union1d(chunk_cuts(data, offsets), offsets)
-        places = np.searchsorted(cuts, offsets)
-        for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-            own, of = data[a:b], ids[first + k].as_py()
-            yield of, _key(of, own), own, cuts[places[k] : places[k + 1] + 1] - a
+def _rolling_cuts(data: np.ndarray) -> np.ndarray:
+    """Ends of the windows whose hash asks for a cut."""
+    rolling, width, factor = (data.astype(np.uint64) + np.uint64(1)) * _MULTIPLIER, 1, _MULTIPLIER
+    with np.errstate(over="ignore"):
+        while width < _WINDOW:
+            rolling = rolling[:-width] * factor + rolling[width:]
+            width, factor = width * 2, factor * factor
+        return np.flatnonzero((rolling >> np.uint64(64 - _MEAN_BITS)) == 0) + _WINDOW
 
 
 def _key(of: int | None, data: np.ndarray) -> bytes:
-    """Rows that agree in id and text share it, and have the same result."""
+    """Digest of bytes, apart for each id."""
     return hashlib.blake2b(data, digest_size=16, key=b"" if of is None else b"%d" % of).digest()
 
 
+def _row_key() -> Column:
+    """Rows that agree in id and text share it, and have the same result."""
+    own = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))
+    return F.substring(F.unhex(F.sha2(own, 256)), 1, 16)
+
+
 def _chunk_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, seqs, digests = [], [], []
-        for _, key, data, cuts in _documents(*batch.columns):
-            for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                keys.append(key)
-                seqs.append(k)
-                digests.append(hashlib.blake2b(data[a:b], digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(seqs, pa.int32()), pa.array(digests, pa.binary())],
-            names=["key", "seq", "digest"],
-        )
+        for data, offsets, first in texts_of(batch.column(1), _SLICE_BYTES):
+            cuts = np.union1d(chunk_cuts(data, offsets), offsets)
+            counts = np.diff(np.searchsorted(cuts, offsets))
+            of = first + np.repeat(np.arange(len(counts)), counts)
+            seqs = ragged(np.zeros(len(counts), np.int64), counts)
+            digests = [_key(None, data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(of)), pa.array(seqs, pa.int32()), pa.array(digests, pa.binary())],
+                names=["key", "seq", "digest"],
+            )
     give_back()
 
 
@@ -162,32 +171,22 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
-        ids, keys, texts = [], [], []
-        for of, key, data, _ in _documents_uncut(*batch.columns):
-            ids.append(of)
-            keys.append(key)
-            texts.append(pack(data.tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(texts, pa.binary())],
-            names=["doc_id", "key", "packed"],
-        )
+        for data, offsets, first in texts_of(batch.column(1), _SLICE_BYTES):
+            some = batch.slice(first, len(offsets) - 1)
+            texts = [pack(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), some.column(2), pa.array(texts, pa.binary())], names=["doc_id", "key", "packed"]
+            )
     give_back()
 
 
-def _documents_uncut(ids: pa.Array, texts: pa.Array) -> Iterator[tuple]:
-    for data, offsets, first in texts_of(texts, _SLICE_BYTES):
-        for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-            of = ids[first + k].as_py()
-            yield of, _key(of, data[a:b]), data[a:b], None
-
-
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about a megabyte of the given binary column."""
+    """The batch in parts of about ``_PACKED_BYTES`` of the given binary column."""
     upto = np.cumsum(pc.binary_length(batch.column(column)).to_numpy())
     first = 0
     while first < batch.num_rows:
         before = upto[first - 1] if first else 0
-        last = max(int(np.searchsorted(upto, before + _SLICE_BYTES, "right")), first + 1)
+        last = max(int(np.searchsorted(upto, before + _PACKED_BYTES, "right")), first + 1)
         yield batch.slice(first, last - first)
         first = last
 
@@ -209,14 +208,13 @@ def _encode_owned(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) ->
     codec, pack = None, zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         codec = codec or Codec(vocabulary)
-        for some in _slices(batch, 0):
-            rows = some.to_pylist()
-            data, offsets, cuts = _unpacked([r["packed"] for r in rows])
+        for data, offsets, first in texts_of(batch.column(0), _SLICE_BYTES):
+            cuts = np.union1d(chunk_cuts(data, offsets), offsets)
             places = np.searchsorted(cuts, offsets)
             digests, spans, salts = [], [], []
-            for i, r in enumerate(rows):
-                for x in r["owned"]:
-                    c = places[i] + x["seq"]
+            for place, own in zip(places, batch.column(1).slice(first, len(offsets) - 1).to_pylist()):
+                for x in own:
+                    c = place + x["seq"]
                     digests.append(x["digest"])
                     salts.append(x["salts"])
                     spans.append(data[cuts[c] : cuts[c + 1]])

@@ -157,8 +157,8 @@ class Codec:
         joined = list(compress(words, marks))
         apart = [w for w, mark in zip(words, marks) if not mark]
         ids, lengths = [self.flat], [self.lengths]
-        for k in range(0, len(joined), 50_000):
-            some = joined[k : k + 50_000]
+        for k in range(0, len(joined), 8_000):  # the library takes some hundred bytes a token meanwhile
+            some = joined[k : k + 8_000]
             found = self.tokenizer.encode_batch_fast(
                 [b"".join(some).decode()], add_special_tokens=False
             )[0].ids
