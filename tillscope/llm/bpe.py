@@ -267,6 +267,7 @@ def _assembled(
                 texts = [vocabulary.decode(np.frombuffer(x, "<u4")) for x in found]
                 columns["decoded"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_pydict(columns)
+            del rows, data, chunks, found, columns
     del codec
     give_back()
 

@@ -93,14 +93,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         table, bias = spread.value
         for batch in batches:
             texts = pc.struct_field(batch.column(0), place).cast(pa.string())
-            logits = np.concatenate(
-                [_means(table, data, offsets) for data, offsets, _ in texts_of(texts, _SLICE)]
-                or [np.zeros((0, len(bias)), np.float32)]
-            )
-            p = softmax((logits + bias).astype(np.float64))
-            bounds = np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["row", "probabilities"])
+            # Rows go back slice by slice: the executor holds what comes back as a whole, beside what it sends.
+            for data, offsets, first in texts_of(texts, _SLICE):
+                p = softmax((_means(table, data, offsets) + bias).astype(np.float64))
+                bounds = np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(p.ravel()))
+                rows = batch.column(0).slice(first, len(p))
+                yield pa.RecordBatch.from_arrays([rows, lists], names=["row", "probabilities"])
         give_back()
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
