@@ -34,6 +34,8 @@ BROADCAST_OWNERS = 1_000_000
 _SLICE_BYTES = 1 << 20
 #: Packed texts are taken apart so many bytes at a time.
 _PACKED_BYTES = 1 << 18
+#: The codec keeps the words of so many of these parts.
+_RECENT = 32
 #: Texts are hashed so many bytes at a time.
 _BLOCK_BYTES = 1 << 17
 
@@ -207,7 +209,7 @@ def _encode_owned(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) ->
 
     codec, pack = None, zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        codec = codec or Codec(vocabulary)
+        codec = codec or Codec(vocabulary, batches=_RECENT)
         for data, offsets, first in texts_of(batch.column(0), _SLICE_BYTES):
             cuts = np.union1d(chunk_cuts(data, offsets), offsets)
             places = np.searchsorted(cuts, offsets)
@@ -246,7 +248,7 @@ def _assembled(
 
     codec, unpack = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        codec = codec or Codec(vocabulary)
+        codec = codec or Codec(vocabulary, batches=_RECENT)
         for some in _slices(batch, 1):
             rows = some.to_pylist()
             data, offsets, cuts = _unpacked([r["packed"] for r in rows])

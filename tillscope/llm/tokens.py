@@ -98,8 +98,8 @@ class Vocabulary:
 class Codec:
     """Encodes batches of UTF-8 texts, for a byte-level tokenizer."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 100_000):
-        """Beyond ``remembered`` pieces only those used lately stay in memory, which changes no result."""
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 100_000, batches: int = 8):
+        """Beyond ``remembered`` pieces only those of the last ``batches`` stay in memory, which changes no result."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -110,7 +110,7 @@ class Codec:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
-        self.recent: deque[np.ndarray] = deque(maxlen=8)
+        self.recent: deque[np.ndarray] = deque(maxlen=batches)
         self.remembered = remembered
 
     def _forget(self) -> None:
